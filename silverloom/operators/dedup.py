@@ -11,7 +11,7 @@ _KEY = ["text_key", "_label", "_split"]
 
 def text_key(c: Column) -> Column:
     """A fixed-width stand-in for a text of any length."""
-    return F.sha2(c, 256)
+    return F.unhex(F.sha2(c, 256))
 
 
 def _with_key(df: DataFrame) -> DataFrame:

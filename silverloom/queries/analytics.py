@@ -8,6 +8,7 @@ from silverloom.operators.metrics import accuracy, class_summary, counters, hist
 from silverloom.operators.predict import (
     empty_text_rule,
     linear_step,
+    now_ms,
     predict,
     resolve_identity,
     to_predictions,
@@ -184,6 +185,20 @@ def identity_resolution(spark, sf):
     return resolve_identity(turns(spark, sf)).select("request_id", "id")
 
 
+def fresh_request_ids(spark, sf):
+    """Requests without any id get a UUID each, and a time stamp."""
+    bare = turns(spark, sf).select(F.lit(None).cast("string").alias("request_id"), F.lit("").alias("id"), "text")
+    stamped = written(resolve_identity(bare).withColumn("created_at_ms", now_ms()), "requests")
+    rid = F.col("request_id")
+    return stamped.agg(
+        F.count("*").alias("n"),
+        F.count_distinct(rid).alias("n_distinct"),
+        F.count_if(rid.rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")).alias("n_uuids"),
+        F.count_if(rid == F.col("id")).alias("n_same_id"),
+        (F.min("created_at_ms") > 1_600_000_000_000).alias("stamped"),
+    )
+
+
 def empty_text(spark, sf):
     """Turns without text score 0, with a zero vector."""
     scored = predict(turns(spark, sf), size_vector, _SIZE_SCORE, size=2)
@@ -235,6 +250,7 @@ QUERIES = {
         accuracy_fixed_model,
         vector_cast,
         identity_resolution,
+        fresh_request_ids,
         empty_text,
         hard_label_score,
         predict_batch,
@@ -301,6 +317,8 @@ ORACLE = {
     "accuracy_fixed_model": f"""SELECT count(*) AS n_rows, round(avg(((score >= 0.5)::BIGINT = label)::INTEGER), 9) AS accuracy FROM ({_SCORED})""",
     "vector_cast": "SELECT vec_id, len(embedding) AS dim, round(list_max(embedding)::DOUBLE, 6) AS highest FROM embeddings",
     "identity_resolution": f"SELECT request_id, id FROM ({TURNS_SQL})",
+    "fresh_request_ids": """SELECT count(*) AS n, count(*) AS n_distinct, count(*) AS n_uuids, count(*) AS n_same_id, true AS stamped
+  FROM conversations""",
     "empty_text": f"""SELECT request_id, 0::BIGINT AS pred_label, 0.0::DOUBLE AS pred_score, 0.0::DOUBLE AS vector_sum FROM ({_TURNS})
   WHERE cleaned_text = ''""",
     "hard_label_score": f"""SELECT CASE WHEN cleaned_text = 'error' THEN '' ELSE cleaned_text END AS cleaned_text,

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverloom.operators.messages import build_requests
+from silverloom.sources.tables import spread
 
 # Label fragments of a message, and what bronze and silver make of each. None: the record is rejected.
 LABEL_CASES = [
@@ -41,6 +42,14 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+TEXT_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
+
+
+def texts(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table of texts, spread over all cores."""
+    return spread(table(spark, sf, name), TEXT_KEYS[name])
+
+
 def split_of(key: Column) -> Column:
     """A seeded train/test assignment, about 3 to 13."""
     digit = F.substring(F.md5(F.concat(F.lit("split:"), key.cast("string"))), 1, 1)
@@ -54,7 +63,7 @@ def split_sql(key: str) -> str:
 def reviews(spark: SparkSession, sf: str, how: str = "inner") -> DataFrame:
     """Documents with their label; with ``how='left'`` also the unlabelled ones, as label 0."""
     labels = table(spark, sf, "labels").select("doc_id", "quality")
-    docs = table(spark, sf, "documents").select("doc_id", "text").join(labels, "doc_id", how)
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id").join(labels, "doc_id", how)
     return docs.select(
         "doc_id",
         F.col("doc_id").cast("string").alias("id"),
@@ -72,7 +81,7 @@ REVIEWS_ALL_SQL = REVIEWS_SQL.replace("JOIN labels", "LEFT JOIN labels")
 
 def messages(spark: SparkSession, sf: str) -> DataFrame:
     """Every document as one message line; the label takes the forms of LABEL_CASES in turn."""
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
     case = F.pmod("doc_id", F.lit(N_CASES))
     body = F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), "text", split_of(F.col("doc_id")).alias("split")))
     fragments = F.array(*[F.lit(f) for f, _, _ in LABEL_CASES])
@@ -155,7 +164,7 @@ GOLD_SQL = f"""SELECT vec_id::VARCHAR AS id, 'vector ' || vec_id AS text, (label
 def turns(spark: SparkSession, sf: str) -> DataFrame:
     """Every conversation turn as a request: system turns have only an id, assistant turns an empty request_id."""
     key = F.concat_ws("-", "conv_id", "turn")
-    return table(spark, sf, "conversations").select(
+    return texts(spark, sf, "conversations").select(
         F.when(F.col("role") == "system", F.lit(None)).when(F.col("role") == "assistant", "").otherwise(key).alias("request_id"),
         F.when(F.col("role") == "user", F.lit(None)).otherwise(F.concat(F.lit("turn-"), key)).alias("id"),
         F.when(F.col("role") == "system", " <b> </b>\n").otherwise(F.col("text")).alias("text"),

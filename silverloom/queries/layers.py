@@ -4,16 +4,16 @@ from pyspark.sql import functions as F
 
 from silverloom.functions.text import clean_text
 from silverloom.models.encode import to_gold
-from silverloom.operators.dedup import dedup_counts, dedup_keep_first
+from silverloom.operators.dedup import dedup_keep_first
 from silverloom.operators.messages import (
     FIELDS,
     bronze_from_messages,
     build_requests,
     reviews_from_raw,
-    silver_from_bronze,
     silver_from_messages,
     to_message,
 )
+from silverloom.plans.jobs import Places, backfill
 from silverloom.plans.silver import silver_job
 from silverloom.queries.data import (
     BRONZE_ERROR_SQL,
@@ -31,20 +31,21 @@ from silverloom.queries.data import (
     split_of,
     split_sql,
     table,
+    texts,
 )
 from silverloom.schemas import GOLD, REVIEW
-from silverloom.session import new_folder
+from silverloom.session import new_folder, written
 from silverloom.sinks.files import publish, read_csv, write_csv, write_gold_parquet, write_layer
 from silverloom.sinks.tables import append_commit
 from silverloom.sources.jsonl import ORDER, read_jsonl, read_lines
 from silverloom.sources.reviews import load_reviews
-from silverloom.sources.tables import as_of, describe_gold, list_commits, list_objects, read_table, row_counts
+from silverloom.sources.tables import as_of, describe_gold, list_commits, list_objects, list_tables, read_table, row_counts
 from silverloom.sources.topic import topic_batch
 
 
 def silver_documents(spark, sf):
     """Clean every document, keep the first of each (text, label, split), count per split and language."""
-    docs = table(spark, sf, "documents").select(
+    docs = texts(spark, sf, "documents").select(
         "doc_id", "lang", clean_text(F.col("text")).alias("text"), F.lit(0).alias("label"), split_of(F.col("doc_id")).alias("split")
     )
     kept = dedup_keep_first(docs, "doc_id", keep=["doc_id", "lang", "split"])
@@ -94,20 +95,30 @@ def silver_dedup_counts(spark, sf):
     return silver_job(reviews(spark, sf, "left"), order="doc_id").counts
 
 
-def silver_incremental(spark, sf):
-    """The labelled documents as a second batch, after all unlabelled ones went through as the first."""
+def _two_batches(spark, sf):
+    """The unlabelled documents, written as a first silver batch, and the labelled ones as the second; label: is it long?"""
     labels = table(spark, sf, "labels").select("doc_id")
-    everything = reviews(spark, sf, "left").withColumn("label", F.lit(0)).withColumn("split", F.lit("train"))
-    first = silver_job(everything.join(labels, "doc_id", "left_anti"), order="doc_id").silver
-    second = everything.join(labels, "doc_id", "left_semi")
+    docs = texts(spark, sf, "documents").select(
+        "doc_id",
+        F.col("doc_id").cast("string").alias("id"),
+        "text",
+        (F.length("text") >= 500).cast("int").alias("label"),
+        F.when(F.col("lang") == "en", "train").otherwise("test").alias("split"),
+        F.lit(None).cast("string").alias("request_id"),
+    )
+    first = silver_job(docs.join(labels, "doc_id", "left_anti"), order="doc_id").silver
+    return written(first, "silver"), docs.join(labels, "doc_id", "left_semi")
+
+
+def silver_incremental(spark, sf):
+    """Only what the first batch did not have."""
+    first, second = _two_batches(spark, sf)
     return silver_job(second, order="doc_id", existing=first).silver.drop("request_id")
 
 
 def silver_incremental_counts(spark, sf):
-    labels = table(spark, sf, "labels").select("doc_id")
-    everything = reviews(spark, sf, "left").withColumn("label", F.lit(0)).withColumn("split", F.lit("train"))
-    first = silver_job(everything.join(labels, "doc_id", "left_anti"), order="doc_id").silver
-    return dedup_counts(silver_from_bronze(everything.join(labels, "doc_id", "left_semi")).good, first)
+    first, second = _two_batches(spark, sf)
+    return silver_job(second, order="doc_id", existing=first).counts
 
 
 def message_json(spark, sf):
@@ -158,9 +169,11 @@ def silver_from_files(spark, sf):
 
 
 def layer_objects(spark, sf):
+    """The files of a layer and their bytes per split."""
     files = list_objects(spark, _bronze_layer(spark, sf), ".txt")
     split = F.regexp_extract("object_key", "split=([^/]+)/", 1)
-    return files.groupBy(split.alias("split")).agg(F.count("*").alias("n_files"), F.sum("n_bytes").alias("n_bytes"))
+    by_split = files.groupBy(split.alias("split")).agg(F.count("*").alias("n_files"), F.sum("n_bytes").alias("n_bytes"))
+    return by_split.select("split", (F.col("n_files") > 0).alias("has_files"), "n_bytes")
 
 
 def _shown(df):
@@ -238,6 +251,19 @@ def csv_export(spark, sf):
     return read_csv(spark, path, "id string, label int, text string")
 
 
+def backfill_tables(spark, sf):
+    """The whole job, from raw rows to a classifier: rows per gold table and the accuracy measured on each split."""
+    root = new_folder(spark, "run")
+    database = "run_" + root.rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/tables'")
+    raw = reviews(spark, sf, "left")
+    datasets = {s: raw.where(F.col("split") == s).select("doc_id", "text", "label") for s in ("train", "test")}
+    trained = backfill(spark, Places(root, database), datasets, "doc_id", size=256)
+    tables = {name: spark.table(f"{database}.{name}") for name in list_tables(spark, database)}
+    score = F.when(F.col("table_name") == "gold_train", trained.metrics["train_accuracy"]).otherwise(trained.metrics["test_accuracy"])
+    return row_counts(tables).withColumn("measured", score.between(0, 1))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -270,14 +296,15 @@ QUERIES = {
         append_twice,
         table_row_counts,
         csv_export,
+        backfill_tables,
     )
 }
 
 _FIRST = "row_number() OVER (PARTITION BY text, label, split ORDER BY doc_id) = 1"
 _SILVER_ALL = f"SELECT doc_id, id, {clean_sql('text')} AS text, label, split FROM ({REVIEWS_ALL_SQL})"
-_INCREMENT = f"""WITH s AS (SELECT doc_id, doc_id::VARCHAR AS id, {clean_sql('text')} AS text, 0 AS label, 'train' AS split,
-    doc_id IN (SELECT doc_id FROM labels) AS labelled FROM documents)"""
-_NEW = "labelled AND text NOT IN (SELECT text FROM s WHERE NOT labelled)"
+_INCREMENT = f"""WITH s AS (SELECT doc_id, doc_id::VARCHAR AS id, {clean_sql('text')} AS text, (length(text) >= 500)::INTEGER AS label,
+    CASE WHEN lang = 'en' THEN 'train' ELSE 'test' END AS split, doc_id IN (SELECT doc_id FROM labels) AS labelled FROM documents)"""
+_NEW = "labelled AND (text, label, split) NOT IN (SELECT (text, label, split) FROM s WHERE NOT labelled)"
 _THREE = f"SELECT *, CASE WHEN class < 3 THEN 1000 WHEN class <= 6 THEN 2000 ELSE 3000 END AS commit_id FROM ({GOLD_SQL})"
 
 ORACLE = {
@@ -298,8 +325,8 @@ ORACLE = {
     "silver_dedup_counts": f"""SELECT count(*) AS n_valid, count(DISTINCT (text, label, split)) AS n_kept,
   count(*) - count(DISTINCT (text, label, split)) AS n_skipped FROM ({_SILVER_ALL})""",
     "silver_incremental": f"{_INCREMENT} SELECT id, text, label, split FROM s WHERE {_NEW} QUALIFY {_FIRST}",
-    "silver_incremental_counts": f"""{_INCREMENT} SELECT (SELECT count(*) FROM s WHERE labelled) AS n_valid, count(DISTINCT text) AS n_kept,
-  (SELECT count(*) FROM s WHERE labelled) - count(DISTINCT text) AS n_skipped FROM s WHERE {_NEW}""",
+    "silver_incremental_counts": f"""{_INCREMENT} SELECT (SELECT count(*) FROM s WHERE labelled) AS n_valid, count(DISTINCT (text, label, split)) AS n_kept,
+  (SELECT count(*) FROM s WHERE labelled) - count(DISTINCT (text, label, split)) AS n_skipped FROM s WHERE {_NEW}""",
     "message_json": f"SELECT id, text, label, split, 0 AS mentions FROM ({REVIEWS_ALL_SQL})",
     "request_messages": """SELECT conv_id || '-' || turn AS id, text, 0 AS label, 'inference' AS split,
   conv_id || '-' || turn AS request_id FROM conversations""",
@@ -307,6 +334,8 @@ ORACLE = {
     "bronze_partitioned_roundtrip": f"SELECT id, text, label, split FROM ({REVIEWS_ALL_SQL})",
     "bronze_split_reads": f"SELECT split, count(*) AS n, count(*) AS n_alone FROM ({REVIEWS_ALL_SQL}) GROUP BY split",
     "silver_from_files": f"SELECT DISTINCT text, label, split FROM ({_SILVER_ALL})",
+    "layer_objects": f"""SELECT split, true AS has_files, sum(strlen(to_json({{'id': id, 'text': text, 'label': label, 'split': split}})) + 1)::BIGINT AS n_bytes
+  FROM ({REVIEWS_ALL_SQL}) GROUP BY split""",
     "gold_roundtrip": f"SELECT {_SHOWN_SQL} FROM ({GOLD_SQL})",
     "gold_inspect": """SELECT count(*) AS n_rows, 6::BIGINT AS n_columns, min(len(embedding)) AS min_dim, max(len(embedding)) AS max_dim
   FROM embeddings""",
@@ -318,5 +347,7 @@ ORACLE = {
     "table_row_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in ("documents", "labels", "embeddings", "events", "conversations")
     ),
+    "backfill_tables": f"""SELECT 'gold_' || split AS table_name, count(DISTINCT (text, label)) AS n_rows, true AS measured
+  FROM ({_SILVER_ALL}) GROUP BY split""",
     "csv_export": f"SELECT id, label, substr(text, 1, 100) AS text FROM ({REVIEWS_ALL_SQL})",
 }

@@ -12,28 +12,28 @@ from silverloom.functions.text import (
     strip_html,
 )
 from silverloom.models.encode import tokens
-from silverloom.queries.data import clean_sql, html_sql, strip_sql, table, words_sql, ws_sql
+from silverloom.queries.data import clean_sql, html_sql, strip_sql, table, texts, words_sql, ws_sql
 
 
 def strip_html_pages(spark, sf):
-    return table(spark, sf, "pages").select("page_id", strip_html(F.col("html")).alias("text"))
+    return texts(spark, sf, "pages").select("page_id", strip_html(F.col("html")).alias("text"))
 
 
 def normalize_ws_documents(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", normalize_whitespace(F.col("text")).alias("text"))
+    return texts(spark, sf, "documents").select("doc_id", normalize_whitespace(F.col("text")).alias("text"))
 
 
 def clean_text_pages(spark, sf):
-    return table(spark, sf, "pages").select("page_id", clean_text(F.col("html")).alias("text"))
+    return texts(spark, sf, "pages").select("page_id", clean_text(F.col("html")).alias("text"))
 
 
 def clean_text_documents(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", clean_text(F.col("text")).alias("text"))
+    return texts(spark, sf, "documents").select("doc_id", clean_text(F.col("text")).alias("text"))
 
 
 def clean_text_flags(spark, sf):
     html = F.col("html")
-    return table(spark, sf, "pages").select(
+    return texts(spark, sf, "pages").select(
         "page_id",
         F.md5(clean_text(html, lowercase=False)).alias("keep_case"),
         F.md5(clean_text(html, strip_html_tags=False)).alias("keep_tags"),
@@ -47,7 +47,7 @@ def clean_text_flags(spark, sf):
 
 def text_previews(spark, sf):
     text = F.col("text")
-    return table(spark, sf, "documents").select(
+    return texts(spark, sf, "documents").select(
         "doc_id",
         preview(text, 100).alias("text_100"),
         F.md5(preview(clean_text(text), 2000)).alias("cleaned_2000"),
@@ -65,7 +65,7 @@ def review_prompts(spark, sf):
 
 def token_counts(spark, sf):
     words = tokens(clean_text(F.col("text")))
-    return table(spark, sf, "documents").select("doc_id", F.size(words).cast("bigint").alias("n_tokens"))
+    return texts(spark, sf, "documents").select("doc_id", F.size(words).cast("bigint").alias("n_tokens"))
 
 
 QUERIES = {

@@ -19,6 +19,16 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows redistributed by ``key`` when the scan yields fewer tasks than there are cores; else ``df`` itself.
+
+    A Parquet file is read by one task per row group, so a small table of one group would leave all text work to one
+    core. A large table has more pieces than cores and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def load_table(spark: SparkSession, name: str, fallback: str) -> DataFrame:
     """The named catalog table, else the fallback table, else an error that says what to run first."""
     for candidate in dict.fromkeys((name, fallback)):
