@@ -46,9 +46,11 @@ def append_commit(
 def append_table(df: DataFrame, name: str, schema: T.StructType, commit_id: int | None = None) -> int:
     """The same for a catalog table, made when missing."""
     commit = int(time.time() * 1000) if commit_id is None else commit_id
-    rows = conform(df, schema).withColumn(COMMIT, F.lit(commit).cast("bigint"))
-    if df.sparkSession.catalog.tableExists(name):
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
+    rows = conform(df, schema)
+    spark = df.sparkSession
+    if spark.catalog.tableExists(name):
+        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({COMMIT} = {int(commit)}) SELECT * FROM {{rows}}", rows=rows)
     else:
-        rows.write.partitionBy(COMMIT).format("parquet").saveAsTable(name)
+        stamped = rows.withColumn(COMMIT, F.lit(commit).cast("bigint"))
+        stamped.write.partitionBy(COMMIT).format("parquet").saveAsTable(name)
     return commit

@@ -4,7 +4,7 @@ import time
 from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -76,11 +76,8 @@ def write_batch(
     """
     started = time.monotonic()
     spark = batch.sparkSession
-    seen = Observation(f"inference_{batch_id}_{time.time_ns()}")
     ok = F.col("error").isNull()
-    scored = score_requests(batch, encode, score, size, created_at_ms).observe(
-        seen, F.count(F.lit(1)).alias("consumed"), F.count_if(ok).alias("succeeded")
-    )
+    scored = score_requests(batch, encode, score, size, created_at_ms)
     staged_path = f"{sinks.staging}/batch_id={batch_id}"
     scored.write.mode("overwrite").parquet(staged_path)
     staged = spark.read.schema(scored.schema).parquet(staged_path)
@@ -105,7 +102,7 @@ def write_batch(
     letters = staged.where(~ok).select("error", F.col("created_at_ms").alias("ts_ms"), "payload")
     write_dead_letters(letters, f"{sinks.dead_letters}/batch_id={batch_id}", mode="overwrite")
 
-    counts = seen.get
+    counts = staged.agg(F.count("*").alias("consumed"), F.count_if(ok).alias("succeeded")).first()
     return BatchReport(
         batch_id,
         counts["consumed"],

@@ -26,7 +26,7 @@ def test_samples(spark, monkeypatch, values, top_n):
     monkeypatch.setattr(sampling, "_PREFIX", 1)
     for parts in (1, 6):
         df = spark.range(1000).repartition(parts)
-        for n in (1, 50, 333, 999, 1000, 5000):
+        for n in (1, 333, 999, 5000):
             assert values(sampling.sample_exact(df, n, "id"), "id") == sorted(shuffled_ids(range(1000))[:n])
             assert values(sampling.first_rows(df, n, "id"), "id") == list(range(min(n, 1000)))
         assert sampling.sample_exact(df, 0, "id").count() == sampling.sample_exact(df, None, "id").count() == 1000

@@ -1,0 +1,200 @@
+"""Streams against their batch twins; replays; failures."""
+
+import json
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from silverloom.operators.dedup import dedup_keep_first
+from silverloom.operators.messages import bronze_from_messages, silver_from_messages, to_message
+from silverloom.operators.predict import linear_step
+from silverloom.models.encode import encode
+from silverloom.schemas import DEAD_LETTER, GOLD, PREDICTION, REVIEW
+from silverloom.sinks.files import publish
+from silverloom.sources.jsonl import read_jsonl
+from silverloom.sources.tables import list_commits, read_table
+from silverloom.sources.topic import topic_batch, topic_stream
+from silverloom.streaming import inference
+from silverloom.streaming.inference import Sinks, inference_stream, write_batch
+from silverloom.streaming.layers import bronze_stream, dedup_stream, large_state, silver_stream
+from silverloom.streaming.run import ObservedMetrics, drain, paced, wait_for_prediction
+
+
+def topic_of(folder, *files):
+    folder.mkdir(parents=True, exist_ok=True)
+    for i, messages in enumerate(files):
+        lines = [m if isinstance(m, str) else json.dumps(m) for m in messages]
+        (folder / f"{i:03d}.txt").write_text("\n".join(lines) + "\n")
+        time.sleep(0.01)
+    return str(folder)
+
+
+MESSAGES = [
+    [{"id": str(i), "text": f"<b>Text</b> {i % 4}", "label": i % 3, "split": ("train", "test")[i % 2]} for i in range(12)],
+    ["bad", {"id": "x", "text": "y", "label": "abc"}],
+    [{"id": str(i), "text": f"text {i % 5}", "label": 1, "split": "train"} for i in range(20, 30)] + [{"id": "z"}],
+]
+
+
+def test_bronze_equals_batch(spark, tmp_path):
+    topic = topic_of(tmp_path / "topic", *MESSAGES)
+    metrics = ObservedMetrics()
+    spark.streams.addListener(metrics)
+    try:
+        for _ in range(2):
+            drain(
+                bronze_stream(
+                    topic_stream(spark, topic, max_per_trigger=1), str(tmp_path / "b"), str(tmp_path / "c"), "dflt",
+                    str(tmp_path / "q"), batch_size=3, name="ingest",
+                )
+            )
+        for _ in range(50):
+            if sum(row["consumed"] for _, _, _, row in metrics.rows) >= 25:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(metrics)
+    good, bad = bronze_from_messages(topic_batch(spark, topic), "dflt")
+    stored = read_jsonl(spark, str(tmp_path / "b"), REVIEW).drop("line_order")
+    assert sorted(map(str, stored.collect())) == sorted(map(str, good.collect()))
+    quarantine = spark.read.schema("value string, error string").json(str(tmp_path / "q")).select("value", "error")
+    assert sorted(quarantine.collect()) == sorted(bad.collect()) and quarantine.count() == 2
+    assert sum(row["consumed"] for _, _, _, row in metrics.rows) == 25
+    assert {name for name, *_ in metrics.rows} == {"ingest"}
+    assert (tmp_path / "b" / "split=dflt").is_dir()
+
+
+def keys(df):
+    return sorted((r["text"], r["label"], r["split"]) for r in df.collect())
+
+
+def test_silver_equals_batch_and_survives_a_replay(spark, tmp_path):
+    topic = topic_of(tmp_path / "topic", *MESSAGES)
+    good = silver_from_messages(topic_batch(spark, topic)).good.withColumn("n", F.monotonically_increasing_id())
+    want = keys(dedup_keep_first(good, "n"))
+    path = str(tmp_path / "s")
+    drain(silver_stream(topic_stream(spark, topic, max_per_trigger=1), path, str(tmp_path / "c")))
+    assert keys(spark.read.parquet(path)) == want
+    (tmp_path / "c" / "commits" / "2").unlink()
+    (tmp_path / "c" / "commits" / ".2.crc").unlink(missing_ok=True)
+    drain(silver_stream(topic_stream(spark, topic, max_per_trigger=1), path, str(tmp_path / "c")))
+    assert keys(spark.read.parquet(path)) == want
+    plain = str(tmp_path / "plain")
+    drain(silver_stream(topic_stream(spark, topic), plain, str(tmp_path / "c2"), dedup=False))
+    assert spark.read.parquet(plain).count() == good.count()
+
+
+def test_state_store_dedup(spark, tmp_path):
+    large_state(spark)
+    topic = topic_of(tmp_path / "topic", *MESSAGES)
+    silver = silver_from_messages(topic_stream(spark, topic, max_per_trigger=1)).good
+    writer = dedup_stream(silver).writeStream.format("parquet").option("path", str(tmp_path / "s"))
+    drain(writer.option("checkpointLocation", str(tmp_path / "c")))
+    assert keys(spark.read.parquet(str(tmp_path / "s"))) == sorted(set(keys(silver_from_messages(topic_batch(spark, topic)).good)))
+
+
+REQUESTS = [
+    [{"id": "r1", "text": "<p>Good</p>", "label": 0, "split": "inference", "request_id": "r1"}, {"text": "no ids"}],
+    [{"id": "i2", "text": " "}, {"id": "t", "text": "training", "split": "train"}, {"id": "n", "split": None}, "broken"],
+    [{"id": "i3", "text": "fail", "label": 1}, {"id": "i4", "text": "x", "label": "two"}, {"request_id": "r5", "text": "é ok"}],
+]
+
+
+def encode_step(df):
+    def load():
+        return lambda texts: [None if t == "fail" else [float(len(t)), 1.0] for t in texts]
+
+    return encode(df, load, text_col="cleaned_text")
+
+
+SCORE = linear_step([1.0, -4.0])
+
+
+def sinks_of(tmp_path):
+    return Sinks(*(str(tmp_path / n) for n in ("staging", "bronze", "silver", "predictions", "dead", "gold")))
+
+
+def letters_of(spark, sinks):
+    return spark.read.text(sinks.dead_letters).select(F.from_json("value", DEAD_LETTER).alias("d")).select("d.*")
+
+
+def test_inference(spark, tmp_path, values):
+    topic = topic_of(tmp_path / "topic", *REQUESTS)
+    sinks, reports = sinks_of(tmp_path), []
+    stream = inference_stream(
+        topic_stream(spark, topic, max_per_trigger=1), encode_step, SCORE, sinks, str(tmp_path / "c"), 2, "v9", reports.append
+    )
+    drain(stream)
+    rows = {r["cleaned_text"]: r for r in read_table(spark, sinks.predictions, PREDICTION).collect()}
+    assert set(rows) == {"good", "no ids", "", "é ok"}
+    assert (rows["good"]["request_id"], rows["good"]["pred_label"], rows["good"]["pred_score"]) == ("r1", 1, 0.5)
+    assert (rows[""]["request_id"], rows[""]["pred_label"], rows[""]["pred_score"]) == ("i2", 0, 0.0)
+    assert rows["good"]["text"] == "<p>Good</p>" and rows["é ok"]["request_id"] == "r5"
+    assert {(r["model_version"], r["split"]) for r in rows.values()} == {("v9", "inference")}
+
+    ids = sorted(r["request_id"] for r in rows.values())
+    gold = read_table(spark, sinks.gold, GOLD)
+    bronze, silver = (read_jsonl(spark, p, REVIEW) for p in (sinks.bronze, sinks.silver))
+    assert values(gold, "request_id") == values(bronze, "request_id") == values(silver, "request_id") == ids
+    assert {r["text"]: r["embedding"] for r in gold.collect()}[""] == [0.0, 0.0]
+    assert values(silver, "text") == sorted(rows)
+
+    letters = letters_of(spark, sinks).collect()
+    assert sorted(r["error"] for r in letters) == ["encoding failed", 'invalid label: "two"', "malformed message"]
+    assert "broken" in {r["payload"] for r in letters} and all(r["ts_ms"] > 0 for r in letters)
+    assert [(r.batch_id, r.consumed, r.succeeded, r.failed, r.gold_error) for r in reports] == [
+        (0, 2, 2, 0, None), (1, 2, 1, 1, None), (2, 3, 1, 2, None)
+    ]
+    found = wait_for_prediction(spark, sinks.predictions, "r5", timeout=5)
+    assert found["cleaned_text"] == "é ok"
+    assert wait_for_prediction(spark, sinks.predictions, "nobody", timeout=0.1) is None
+    assert wait_for_prediction(spark, str(tmp_path / "nowhere"), "r5", timeout=0.1) is None
+
+
+def test_replayed_batch_adds_nothing(spark, tmp_path, values):
+    batch = topic_batch(spark, topic_of(tmp_path / "topic", *REQUESTS))
+    sinks = sinks_of(tmp_path)
+    for _ in range(2):
+        write_batch(batch, 4, encode_step, SCORE, sinks, 2)
+    write_batch(batch.where("value like '%r1%'"), 5, encode_step, SCORE, sinks, 2)
+    assert read_table(spark, sinks.predictions, PREDICTION).count() == 5
+    assert {r["commit_id"]: r["n_rows"] for r in list_commits(read_table(spark, sinks.gold, GOLD)).collect()} == {4: 4, 5: 1}
+    ids = values(read_table(spark, sinks.predictions, PREDICTION), "request_id")
+    assert values(read_jsonl(spark, sinks.bronze, REVIEW), "request_id") == ids
+    assert letters_of(spark, sinks).count() == 3
+
+
+def test_gold_is_best_effort_and_predictions_are_retried(spark, tmp_path, monkeypatch):
+    batch = topic_batch(spark, topic_of(tmp_path / "topic", *REQUESTS))
+    sinks, calls = sinks_of(tmp_path), []
+    real = inference.append_commit
+
+    def flaky(df, target, *args):
+        calls.append(target)
+        if target == sinks.gold or calls.count(sinks.predictions) < 3:
+            raise OSError("disk full\nmore")
+        return real(df, target, *args)
+
+    monkeypatch.setattr(inference, "append_commit", flaky)
+    monkeypatch.setattr(inference.time, "sleep", lambda s: None)
+    report = write_batch(batch, 0, encode_step, SCORE, sinks, 2)
+    assert report.gold_error == "disk full" and calls.count(sinks.predictions) == 3
+    assert read_table(spark, sinks.predictions, PREDICTION).count() == 4
+    monkeypatch.setattr(inference, "append_commit", lambda *a: (_ for _ in ()).throw(OSError("gone")))
+    with pytest.raises(OSError, match="gone"):
+        write_batch(batch, 1, encode_step, SCORE, sinks, 2)
+
+
+def test_publish_and_pace(spark, tmp_path):
+    records = spark.createDataFrame([("1", "a", 0, "train", None), ("2", "b", 1, "test", "r")], REVIEW)
+    publish(records, str(tmp_path / "topic"))
+    sent = sorted(r[0] for r in topic_batch(spark, str(tmp_path / "topic")).collect())
+    assert sent == sorted(r[0] for r in records.select(to_message(records)).collect())
+    stream = topic_stream(spark, str(tmp_path / "topic"), max_per_trigger=1)
+    query = paced(bronze_stream(stream, str(tmp_path / "b"), str(tmp_path / "c"), "train"), 0.5).start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert read_jsonl(spark, str(tmp_path / "b"), REVIEW).count() == 2
