@@ -30,6 +30,3 @@ MAX_ITERATIONS = 2000
 # Upper bounds of the latency histograms, in seconds.
 REQUEST_BOUNDS = (0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0)
 PROCESSING_BOUNDS = (0.5, 1.0, 2.0, 5.0, 10.0, 30.0)
-
-# Rows per bronze file.
-BRONZE_BATCH = 1000

@@ -4,19 +4,20 @@ The shuffle key is a hash of seed and row key, so the order does not depend on h
 prefix of the hash splits the rows into even buckets whatever the keys look like.
 """
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from silverloom.constants import SEED
 
-# Up to this many rows, a top-n (each task keeps n rows, one task merges them) is the cheap way.
-TOP_N_ROWS = 100_000
-# Buckets of the hash prefix, and of a numeric order.
+# Rows that may be sorted by one task.
+TOP_N_ROWS = 1_000_000
+# Characters of the hash that make up one level of buckets, and buckets of one level of a numeric order.
 _PREFIX = 4
 _RANGES = 256
+_LEVELS = 8
 
 
 def shuffle_key(key: str | Sequence[str], seed: int = SEED) -> Column:
@@ -30,34 +31,57 @@ def shuffled(df: DataFrame, key: str | Sequence[str], seed: int = SEED) -> DataF
 
 
 def first_rows(df: DataFrame, n: int, key: str, seed: int | None = None) -> DataFrame:
-    """The first ``n`` rows by ``key``, or of the seeded shuffle when ``seed`` is given."""
+    """The first ``n`` rows by ``key`` (numeric), or of the seeded shuffle when ``seed`` is given."""
     if seed is not None:
-        return _lowest(df, n, shuffle_key(key, seed))
-    if n <= TOP_N_ROWS:
-        return df.orderBy(key).limit(n)
-    return with_position(df, key, None, "_position").where(F.col("_position") < n).drop("_position")
+        return _lowest_hashes(df, n, shuffle_key(key, seed))
+    return _lowest(df, n, F.col(key), lambda rows, level: _range_bucket(rows, key))
 
 
 def sample_exact(df: DataFrame, n: int | None, key: str | Sequence[str], seed: int = SEED) -> DataFrame:
-    """Exactly ``n`` rows without replacement, or all rows when there are not more. None or <= 0 means all."""
+    """Exactly ``n`` rows without replacement, or all rows when there are not more. None or <= 0 means all.
+
+    ``key`` must identify a row.
+    """
     if n is None or n <= 0:
         return df
-    return _lowest(df, n, shuffle_key(key, seed))
-
-
-def _lowest(df: DataFrame, n: int, order: Column) -> DataFrame:
-    if n <= TOP_N_ROWS:
-        return df.orderBy(order).limit(n)
-    # A large n must not pass through one task. Count the rows per hash prefix, keep the prefixes that fit whole with a
-    # plain filter, and take a top-n only inside the one prefix where the n-th row lies.
-    prefix = F.substring(order, 1, _PREFIX)
-    counts = df.groupBy(prefix.alias("p")).agg(F.count("*").alias("n"))
-    upto = counts.select("p", "n", F.sum("n").over(Window.orderBy("p")).alias("upto"))
-    cut = upto.where(F.col("upto") > n).orderBy("p").select("p", (F.lit(n) - F.col("upto") + F.col("n")).alias("rest")).first()
-    if cut is None:
-        return df
-    edge = df.where(prefix == cut["p"]).orderBy(order).limit(cut["rest"])
-    return df.where(prefix < cut["p"]).unionByName(edge)
+    return _lowest_hashes(df, n, shuffle_key(key, seed))
+
+
+def _lowest_hashes(df: DataFrame, n: int, order: Column) -> DataFrame:
+    return _lowest(df, n, order, lambda rows, level: F.substring(order, 1, _PREFIX * level))
+
+
+def _lowest(df: DataFrame, n: int, order: Column, bucket_of: Callable[[DataFrame, int], Column]) -> DataFrame:
+    """The ``n`` rows lowest in ``order``.
+
+    A plain top-n makes every task send its ``n`` lowest rows to one task: with many tasks that is the whole table. So
+    the rows are first counted per bucket of the order, which reads the key column only. Buckets that fit whole are kept
+    by a filter; the one bucket in which the n-th row lies is divided again until one task can sort it.
+    """
+    taken, inside, rest = F.lit(False), F.lit(True), n
+    for level in range(1, _LEVELS + 1):
+        rows = df.where(inside)
+        bucket = bucket_of(rows, level)
+        cut = _cut(rows, bucket, rest)
+        if cut is None:
+            return df.where(taken | inside) if level > 1 else df
+        if cut["total"] <= TOP_N_ROWS:
+            break
+        taken = taken | (inside & (bucket < cut["bucket"]))
+        inside = inside & (bucket == cut["bucket"])
+        rest -= cut["before"]
+        if cut["n"] <= TOP_N_ROWS:
+            break
+    edge = df.where(inside).orderBy(order).limit(rest)
+    return edge if rest == n else df.where(taken).unionByName(edge)
+
+
+def _cut(rows: DataFrame, bucket: Column, n: int) -> Row | None:
+    """The bucket that holds the row after the ``n`` first ones, and how many rows come before it."""
+    counts = rows.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
+    total = F.sum("n").over(Window.partitionBy(F.lit(0))).alias("total")
+    running = counts.select("bucket", "n", total, (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("before"))
+    return running.where(F.col("before") + F.col("n") > n).orderBy("bucket").first()
 
 
 def with_position(df: DataFrame, key: str, seed: int | None = None, out: str = "position") -> DataFrame:
@@ -89,7 +113,7 @@ def _range_bucket(df: DataFrame, key: str) -> Column:
 
 
 def tail(df: DataFrame, n: int, time: str = "created_at_ms", key: str = "request_id") -> DataFrame:
-    """The ``n`` newest rows."""
+    """The ``n`` newest rows, for a preview: ``n`` is a handful."""
     return df.orderBy(F.col(time).desc(), F.col(key)).limit(n)
 
 

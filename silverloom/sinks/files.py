@@ -3,12 +3,14 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverloom.constants import BRONZE_BATCH
 from silverloom.operators.messages import to_message
 
 
-def write_layer(df: DataFrame, path: str, rows_per_file: int = BRONZE_BATCH, mode: str = "append") -> None:
-    """Complete JSON lines below ``path/split=<split>/``; null fields are left out. Every task writes its own files."""
+def write_layer(df: DataFrame, path: str, rows_per_file: int = 0, mode: str = "append") -> None:
+    """Complete JSON lines below ``path/split=<split>/``; null fields are left out.
+
+    Every task writes one file per split, or several of at most ``rows_per_file`` lines.
+    """
     lines = df.select(to_message(df).alias("value"), "split")
     lines.write.mode(mode).partitionBy("split").option("maxRecordsPerFile", rows_per_file).text(path)
 

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.storagelevel import StorageLevel
 
-from silverloom.constants import BRONZE_BATCH
 from silverloom.operators.dedup import TEXT_KEY, dedup_keep_first, text_key
 from silverloom.operators.messages import bronze_from_messages, silver_from_messages, to_message
 from silverloom.sources.tables import read_table
@@ -20,7 +19,7 @@ def bronze_stream(
     checkpoint: str,
     default_split: str,
     quarantine_path: str | None = None,
-    batch_size: int = BRONZE_BATCH,
+    rows_per_file: int = 0,
     name: str | None = None,
 ) -> DataStreamWriter:
     """Parse, validate and route messages to ``path/split=<split>/``; invalid ones go to ``quarantine_path``.
@@ -33,7 +32,7 @@ def bronze_stream(
         try:
             good, bad = bronze_from_messages(batch, default_split)
             lines = good.select(to_message(good).alias("value"), "split")
-            replace_batch(lines, path, batch_id, "text", "split", maxRecordsPerFile=batch_size)
+            replace_batch(lines, path, batch_id, "text", "split", maxRecordsPerFile=rows_per_file)
             if quarantine_path is not None:
                 replace_batch(bad, quarantine_path, batch_id, "json")
         finally:

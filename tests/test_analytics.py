@@ -20,10 +20,11 @@ def shuffled_ids(ids, seed=42):
     return sorted(ids, key=lambda i: hashlib.md5(f"{seed}:{i}".encode()).hexdigest())
 
 
-@pytest.mark.parametrize("top_n", [100_000, 10])
+@pytest.mark.parametrize("top_n", [100_000, 100, 3])
 def test_samples(spark, monkeypatch, values, top_n):
     monkeypatch.setattr(sampling, "TOP_N_ROWS", top_n)
     monkeypatch.setattr(sampling, "_PREFIX", 1)
+    monkeypatch.setattr(sampling, "_RANGES", 8)
     for parts in (1, 6):
         df = spark.range(1000).repartition(parts)
         for n in (1, 333, 999, 5000):

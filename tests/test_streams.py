@@ -46,7 +46,7 @@ def test_bronze_equals_batch(spark, tmp_path):
             drain(
                 bronze_stream(
                     topic_stream(spark, topic, max_per_trigger=1), str(tmp_path / "b"), str(tmp_path / "c"), "dflt",
-                    str(tmp_path / "q"), batch_size=3, name="ingest",
+                    str(tmp_path / "q"), rows_per_file=3, name="ingest",
                 )
             )
         for _ in range(50):
