@@ -1,17 +1,20 @@
 """Logistic regression on vectors, and on texts."""
 
+import math
+from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from silverloom.constants import MAX_ITERATIONS, MAX_TOKENS, MAX_TRAIN_ROWS, SEED
 from silverloom.functions.scores import threshold_label
 from silverloom.models.encode import VECTOR, text_stages
+from silverloom.models.store import load_model, model_exists
 from silverloom.operators.metrics import accuracy, require_two_classes
 from silverloom.operators.sampling import sample_exact
 from silverloom.operators.splits import split_filter, split_filter_or_all
@@ -19,6 +22,9 @@ from silverloom.operators.splits import split_filter, split_filter_or_all
 FEATURES = "_features"
 LABEL = "_label"
 
+# The optimiser runs one job per pass. Tasks with fewer rows than this cost more to start than to run.
+ROWS_PER_TASK = 10_000
+
 
 class Trained(NamedTuple):
     model: PipelineModel
@@ -35,10 +41,15 @@ def _regression(features: str, n_rows: int) -> LogisticRegression:
         elasticNetParam=0.0,
         standardization=False,
         maxIter=MAX_ITERATIONS,
-        tol=1e-9,
+        tol=1e-8,
     )
 
 
+def _in_few_tasks(df: DataFrame, n_rows: int) -> DataFrame:
+    """No more tasks than the rows are worth; a large frame keeps its own."""
+    return df.coalesce(math.ceil(n_rows / ROWS_PER_TASK))
+
+
 def positive_score() -> Column:
     """Probability of class 1 in a transformed frame."""
     return vector_to_array(F.col("probability")).getItem(1)
@@ -88,7 +99,7 @@ def train_classifier(
     try:
         n = require_two_classes(rows, LABEL)
         vectors = rows.withColumn(FEATURES, array_to_vector(F.col(embedding)))
-        fitted = _regression(FEATURES, n).fit(vectors)
+        fitted = _regression(FEATURES, n).fit(_in_few_tasks(vectors.select(FEATURES, LABEL), n))
         model = PipelineModel([fitted])
         metrics = {"train_accuracy": _measure(rows, model, embedding, LABEL)}
         history = list(fitted.summary.objectiveHistory)
@@ -120,7 +131,7 @@ def train_text_model(
         n = require_two_classes(rows, LABEL)
         to_vectors = Pipeline(stages=text_stages(size, max_tokens)).fit(rows)
         vectors = to_vectors.transform(rows).select(VECTOR, LABEL)
-        fitted = _regression(VECTOR, n).fit(vectors)
+        fitted = _regression(VECTOR, n).fit(_in_few_tasks(vectors, n))
         history = list(fitted.summary.objectiveHistory)
         model = PipelineModel([*to_vectors.stages, fitted])
         metrics = {"train_accuracy": _text_accuracy(rows, model)}
@@ -139,10 +150,21 @@ def _text_accuracy(df: DataFrame, model: PipelineModel) -> float | None:
     return accuracy(out, "pred_label", LABEL).first()["accuracy"]
 
 
+def score_text(df: DataFrame, model: PipelineModel, text_col: str = "cleaned_text") -> DataFrame:
+    """Add ``pred_label`` and ``pred_score`` straight from a text model."""
+    packed = df.select(F.struct(*[F.col(c) for c in df.columns]).alias("_row"), F.col(text_col).alias("text"))
+    scored = model.transform(packed).select("_row.*", positive_score().alias("pred_score"))
+    return scored.select(*df.columns, threshold_label(F.col("pred_score")).alias("pred_label"), "pred_score")
+
+
 def encoder_of(model: PipelineModel) -> PipelineModel:
     """The text stages of a text model, for use as an encoder."""
     last = next(i for i, stage in enumerate(model.stages) if stage.hasParam("outputCol") and stage.getOutputCol() == VECTOR)
     return PipelineModel(model.stages[: last + 1])
 
 
-__all__ = ["Trained", "encoder_of", "positive_score", "score", "train_classifier", "train_text_model"]
+def choose_encoder(spark: SparkSession, text_model_path: str | None, default: Callable[[], Transformer]) -> Transformer:
+    """The encoder of the text model saved at a path, when there is one, else the default: the same for training and scoring."""
+    if text_model_path is not None and model_exists(spark, text_model_path):
+        return encoder_of(load_model(spark, text_model_path)[0])
+    return default()

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from silverloom.constants import MAX_PROJECTION_POINTS, SEED
+from silverloom.functions.text import preview
 from silverloom.operators.sampling import sample_exact
 from silverloom.operators.splits import split_filter_or_all
+from silverloom.sinks.files import write_csv
 
 
 class Projection(NamedTuple):
@@ -62,3 +64,8 @@ def project_2d(
     if new_points is not None:
         points = points.unionByName(new_points.withColumn("is_new", F.lit(True)), allowMissingColumns=True)
     return apply_projection(points, projection), projection
+
+
+def export_points(points: DataFrame, path: str) -> None:
+    """Projected points as CSV for BI tools, with the start of the text."""
+    write_csv(points.select("id", "pc1", "pc2", "label", preview(F.col("text"), 100).alias("text")), path)

@@ -8,8 +8,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from silverloom.constants import MAX_TRAIN_ROWS, SEED
-from silverloom.models.classifier import Trained, encoder_of, train_classifier, train_text_model
-from silverloom.models.encode import gold_from_silver
+from silverloom.models.classifier import Trained, choose_encoder, train_classifier, train_text_model
+from silverloom.models.encode import fit_encoder, gold_from_silver
 from silverloom.models.store import model_exists, save_model
 from silverloom.operators.messages import bronze_from_messages
 from silverloom.plans.silver import silver_job
@@ -107,7 +107,7 @@ def backfill(
 
     text_model = train_text_model(silver["train"], silver.get(test_split), size=size)
     save_model(text_model.model, places.text_model, text_model.metrics)
-    encoder = encoder_of(text_model.model)
+    encoder = choose_encoder(spark, places.text_model, lambda: fit_encoder(silver["train"], size))
     commit = int(time.time() * 1000)
     for split in splits:
         build_gold(silver[split], encoder, places.gold(split), commit)

@@ -2,15 +2,16 @@
 
 from pyspark.sql import functions as F
 
-from silverloom.models.classifier import encoder_of, score, train_classifier, train_text_model
+from silverloom.models.classifier import encoder_of, score, score_text, train_classifier, train_text_model
 from silverloom.models.encode import encode, fit_encoder, gold_from_silver, to_gold
-from silverloom.models.project import project_2d
+from silverloom.models.project import export_points, project_2d
 from silverloom.models.store import load_model, save_model
 from silverloom.operators.metrics import accuracy
 from silverloom.operators.predict import predict, to_predictions
 from silverloom.plans.silver import silver_job
-from silverloom.queries.data import REVIEWS_ALL_SQL, clean_sql, gold, reviews, user_requests
+from silverloom.queries.data import GOLD_SQL, REVIEWS_ALL_SQL, clean_sql, gold, reviews, user_requests
 from silverloom.session import new_folder, written
+from silverloom.sinks.files import read_csv
 
 
 def _silver(spark, sf):
@@ -95,6 +96,22 @@ def predict_with_model(spark, sf):
     return to_predictions(scored).drop("created_at_ms")
 
 
+def predict_with_text_model(spark, sf):
+    """The same straight from a text model, which needs no vectors."""
+    silver = _silver(spark, sf)
+    model = train_text_model(silver.where("split = 'train'"), size=256).model
+    scored = predict(user_requests(spark, sf), lambda df: df, lambda df: score_text(df, model))
+    return to_predictions(scored, model_version="text").drop("created_at_ms")
+
+
+def pca_export(spark, sf):
+    """Projected points written as CSV and read back."""
+    path = new_folder(spark, "points")
+    points, _ = project_2d(gold(spark, sf).drop("split"), max_points=None)
+    export_points(points, path)
+    return read_csv(spark, path, "id string, pc1 double, pc2 double, label bigint, text string").select("id", "label", "text")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -106,6 +123,8 @@ QUERIES = {
         pca_2d,
         pca_new_points,
         predict_with_model,
+        predict_with_text_model,
+        pca_export,
     )
 }
 
@@ -113,6 +132,7 @@ _SILVER = f"SELECT DISTINCT {clean_sql('text')} AS text, label, split FROM ({REV
 
 ORACLE = {
     "gold_job_rows": f"SELECT text, label::BIGINT AS label, split, 256::BIGINT AS dim, true AS within_unit FROM ({_SILVER})",
+    "pca_export": f"SELECT id, label, text FROM ({GOLD_SQL})",
     "python_encoder": f"""SELECT text, label::BIGINT AS label, split, length(text)::BIGINT AS n_chars,
   CASE WHEN text = '' THEN 0 ELSE len(string_split(text, ' ')) END::BIGINT AS n_words FROM ({_SILVER})""",
 }

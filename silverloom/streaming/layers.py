@@ -1,13 +1,12 @@
 """Topic to bronze, and bronze to silver, as streams."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.storagelevel import StorageLevel
 
 from silverloom.operators.dedup import TEXT_KEY, dedup_keep_first, text_key
 from silverloom.operators.messages import bronze_from_messages, silver_from_messages, to_message
-from silverloom.sources.tables import read_table
 from silverloom.streaming.run import replace_batch
 
 ARRIVAL = "_arrival"
@@ -61,10 +60,11 @@ def silver_stream(
     return _writer(lines, process, checkpoint, name)
 
 
-def _earlier(spark, path: str, batch_id: int) -> DataFrame | None:
+def _earlier(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
     if batch_id == 0:
         return None
-    return read_table(spark, path).where(F.col("batch_id") < batch_id).select(TEXT_KEY, "label", "split")
+    keys = spark.read.schema(f"{TEXT_KEY} binary, label int, split string, batch_id bigint").parquet(path)
+    return keys.where(F.col("batch_id") < batch_id).drop("batch_id")
 
 
 def dedup_stream(silver: DataFrame, salts: int = 16) -> DataFrame:
@@ -80,7 +80,7 @@ def dedup_stream(silver: DataFrame, salts: int = 16) -> DataFrame:
     return thinned.dropDuplicates([TEXT_KEY, "label", "split"]).drop("_salt", TEXT_KEY)
 
 
-def large_state(spark) -> None:
+def large_state(spark: SparkSession) -> None:
     """Keep streaming state in RocksDB, outside the heap: the keys of a deduplication without end outgrow memory."""
     spark.conf.set(
         "spark.sql.streaming.stateStore.providerClass",

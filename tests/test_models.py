@@ -6,11 +6,12 @@ from pyspark.ml.classification import LinearSVC
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from silverloom.models.classifier import encoder_of, score, train_classifier, train_text_model
+from silverloom.models.classifier import choose_encoder, encoder_of, score, score_text, train_classifier, train_text_model
 from silverloom.models.encode import encode, fit_encoder, gold_from_silver, to_gold, tokens
-from silverloom.models.project import fit_projection, project_2d
+from silverloom.models.project import export_points, fit_projection, project_2d
 from silverloom.models.store import load_model, model_exists, save_model
 from silverloom.schemas import GOLD, REVIEW
+from silverloom.sinks.files import read_csv
 
 GOLD_ROWS = "id string, embedding array<float>, label long, split string"
 
@@ -156,4 +157,25 @@ def test_text_model_and_its_encoder(spark):
     assert trained.metrics == {"train_accuracy": 1.0, "test_accuracy": 1.0}
     gold = gold_from_silver(df, encoder_of(trained.model))
     assert train_classifier(gold).metrics["test_accuracy"] == 1.0
+    direct = score_text(df.withColumnRenamed("text", "cleaned_text"), trained.model)
+    assert direct.where("pred_label <> label").isEmpty() and direct.columns[-2:] == ["pred_label", "pred_score"]
     assert train_text_model(df, df.where("false"), size=64).metrics == {"train_accuracy": 1.0}
+
+
+def test_saved_text_model_is_the_encoder(spark, tmp_path):
+    df, path = silver(spark), str(tmp_path / "text_model")
+    other = choose_encoder(spark, path, lambda: fit_encoder(df, size=32))
+    assert len(gold_from_silver(df, other).first()["embedding"]) == 32
+    assert choose_encoder(spark, None, lambda: other) is other
+    trained = train_text_model(df, size=64)
+    save_model(trained.model, path, trained.metrics)
+    chosen = choose_encoder(spark, path, lambda: other)
+    assert sorted(gold_from_silver(df, chosen).collect()) == sorted(gold_from_silver(df, encoder_of(trained.model)).collect())
+
+
+def test_export(spark, tmp_path):
+    gold, _, _ = vectors(spark, n=20)
+    points, _ = project_2d(gold.withColumn("text", F.repeat(F.lit("ab"), 80)), max_points=None)
+    export_points(points, str(tmp_path / "csv"))
+    row = read_csv(spark, str(tmp_path / "csv"), "id string, pc1 double, pc2 double, label bigint, text string").first()
+    assert len(row["text"]) == 100 and row["pc1"] is not None

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from silverloom.operators.dedup import dedup_keep_first
 from silverloom.operators.messages import bronze_from_messages, silver_from_messages, to_message
 from silverloom.operators.predict import linear_step
-from silverloom.models.encode import encode
+from silverloom.models.classifier import score, train_classifier
+from silverloom.models.encode import encode, fit_encoder, gold_from_silver
 from silverloom.schemas import DEAD_LETTER, GOLD, PREDICTION, REVIEW
 from silverloom.sinks.files import publish
 from silverloom.sources.jsonl import read_jsonl
@@ -152,6 +153,27 @@ def test_inference(spark, tmp_path, values):
     assert wait_for_prediction(spark, str(tmp_path / "nowhere"), "r5", timeout=0.1) is None
 
 
+def test_inference_with_trained_models(spark, tmp_path):
+    rows = [(str(i), ("good fine", "bad poor")[i % 2] + f" film {i % 3}", 1 - i % 2, "train", None) for i in range(24)]
+    silver = spark.createDataFrame(rows, REVIEW)
+    encoder = fit_encoder(silver, size=64)
+    model = train_classifier(gold_from_silver(silver, encoder), test_split=None).model
+    topic = topic_of(tmp_path / "topic", [{"id": "a", "text": "GOOD film"}, {"id": "b", "text": "<i>bad</i> film"}, {"id": "c"}])
+    sinks = sinks_of(tmp_path)
+    stream = inference_stream(
+        topic_stream(spark, topic), lambda df: encode(df, encoder, "cleaned_text"), lambda df: score(df, model), sinks, str(tmp_path / "c"), 64
+    )
+    drain(stream)
+    stored = {r["request_id"]: r["pred_label"] for r in read_table(spark, sinks.predictions, PREDICTION).collect()}
+    assert stored == {"a": 1, "b": 0, "c": 0}
+
+
+def test_first_batch_without_a_valid_line(spark, tmp_path):
+    topic = topic_of(tmp_path / "topic", ["bad", "worse"], [{"id": "1", "text": "a"}], [{"id": "2", "text": "A"}])
+    drain(silver_stream(topic_stream(spark, topic, max_per_trigger=1), str(tmp_path / "s"), str(tmp_path / "c")))
+    assert keys(spark.read.parquet(str(tmp_path / "s"))) == [("a", 0, "unknown")]
+
+
 def test_replayed_batch_adds_nothing(spark, tmp_path, values):
     batch = topic_batch(spark, topic_of(tmp_path / "topic", *REQUESTS))
     sinks = sinks_of(tmp_path)
