@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverloom.constants import INFERENCE_SPLIT, UNKNOWN_SPLIT
-from silverloom.functions.coerce import bronze_label, is_falsy, silver_label, text_of, text_or_null
+from silverloom.functions.coerce import bronze_label, silver_label, text_of, text_or_null
 from silverloom.functions.text import clean_text
 from silverloom.schemas import REVIEW
 from silverloom.sources.jsonl import MESSAGE_FIELDS, with_parsed
@@ -137,16 +137,3 @@ def requests_from_messages(messages: DataFrame, value: str = "value") -> DataFra
         "error",
         F.col("value").alias("payload"),
     )
-
-
-__all__ = [
-    "Checked",
-    "bronze_from_messages",
-    "build_requests",
-    "is_falsy",
-    "requests_from_messages",
-    "reviews_from_raw",
-    "silver_from_bronze",
-    "silver_from_messages",
-    "to_message",
-]

@@ -14,7 +14,7 @@ from silverloom.constants import SEED
 
 # Rows that may be sorted by one task.
 TOP_N_ROWS = 1_000_000
-# Characters of the hash that make up one level of buckets, and buckets of one level of a numeric order.
+# One level of buckets: characters of the hash; quantile ranges of a numeric order, and parts of each range.
 _PREFIX = 4
 _RANGES = 256
 _LEVELS = 8
@@ -106,10 +106,18 @@ def with_position(df: DataFrame, key: str, seed: int | None = None, out: str = "
 
 
 def _range_bucket(df: DataFrame, key: str) -> Column:
+    """Buckets in the order of a numeric key: quantile ranges, each divided evenly. About as even as the hash buckets."""
     steps = [i / _RANGES for i in range(1, _RANGES)]
-    bounds = df.agg(F.percentile_approx(key, steps, F.lit(10_000))).first()[0] or []
-    edges = F.array(*[F.lit(b) for b in sorted(set(bounds))]) if bounds else F.array().cast("array<double>")
-    return F.size(F.filter(edges, lambda b: b <= F.col(key)))
+    row = df.agg(F.min(key).alias("low"), F.max(key).alias("high"), F.percentile_approx(key, steps, F.lit(10_000)).alias("q")).first()
+    if row["low"] is None:
+        return F.lit(0)
+    edges = [float(b) for b in sorted(set(row["q"]))]
+    k = F.col(key).cast("double")
+    i = F.size(F.filter(F.array(*map(F.lit, edges)), lambda b: b <= k))
+    low = F.get(F.array(*map(F.lit, [float(row["low"]), *edges])), i)
+    high = F.get(F.array(*map(F.lit, [*edges, float(row["high"])])), i)
+    step = F.floor((k - low) / F.nullif(high - low, F.lit(0.0)) * _RANGES)
+    return i * _RANGES + F.least(F.coalesce(step, F.lit(0)), F.lit(_RANGES - 1))
 
 
 def tail(df: DataFrame, n: int, time: str = "created_at_ms", key: str = "request_id") -> DataFrame:

@@ -6,7 +6,6 @@ from silverloom.functions.text import clean_text
 from silverloom.models.encode import to_gold
 from silverloom.operators.dedup import dedup_keep_first
 from silverloom.operators.messages import (
-    FIELDS,
     bronze_from_messages,
     build_requests,
     reviews_from_raw,

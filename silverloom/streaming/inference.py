@@ -142,6 +142,3 @@ def inference_stream(
             on_batch(report)
 
     return messages.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
-
-
-__all__ = ["BatchReport", "Sinks", "inference_stream", "score_requests", "write_batch"]

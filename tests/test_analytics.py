@@ -42,6 +42,11 @@ def test_positions(spark):
     by_seed = {r["k"]: r["position"] for r in sampling.with_position(df, "k", 42).collect()}
     assert by_seed == {k: i for i, k in enumerate(shuffled_ids(keys))}
     assert sampling.with_position(df.where("k > 10000"), "k").count() == 0
+    skewed = [0, 1, 2, 3, 10**6, 10**12, 10**12 + 1, 2**62, 2**62 + 1, -(2**61), -5]
+    rows = spark.createDataFrame([(k,) for k in skewed], "k long").repartition(3)
+    assert {r["k"]: r["position"] for r in sampling.with_position(rows, "k").collect()} == {k: i for i, k in enumerate(sorted(skewed))}
+    decimals = spark.createDataFrame([(x / 7,) for x in range(-50, 50)], "k double")
+    assert [r[0] for r in sampling.with_position(decimals, "k").orderBy("k").select("position").collect()] == list(range(100))
 
 
 def test_latest_and_tail(spark, plan):
