@@ -13,11 +13,11 @@ def request_trace(requests: DataFrame, layers: dict[str, DataFrame], key: str =
     """One row per request with a boolean ``in_<layer>`` column per layer.
 
     All inputs meet in one aggregation on the request id, reduced in each task first, so a request with very many rows
-    in a layer costs no more than one row per task. When the requests are few (they are counted up to a limit), each
-    layer is first filtered down to them.
+    in a layer costs no more than one row per task. When the requests are counted and few, each layer is first filtered
+    down to them.
     """
     wanted = requests.select(key).where(F.col(key).isNotNull()).distinct()
-    few = wanted.limit(FEW_REQUESTS + 1).count() <= FEW_REQUESTS
+    few = wanted.count() <= FEW_REQUESTS
 
     def marked(ids: DataFrame, mark: str) -> DataFrame:
         flags = [F.lit(name == mark).alias(f"in_{name}") for name in layers]

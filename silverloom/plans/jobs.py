@@ -6,12 +6,14 @@ from typing import NamedTuple
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from silverloom.constants import MAX_TRAIN_ROWS, SEED
 from silverloom.models.classifier import Trained, choose_encoder, train_classifier, train_text_model
 from silverloom.models.encode import fit_encoder, gold_from_silver
 from silverloom.models.store import model_exists, save_model
 from silverloom.operators.messages import bronze_from_messages
+from silverloom.operators.sampling import first_rows
 from silverloom.plans.silver import silver_job
 from silverloom.schemas import GOLD, REVIEW
 from silverloom.session import is_missing_path
@@ -51,9 +53,11 @@ def is_ready(spark: SparkSession, tables: list[str], models: list[str]) -> bool:
 def ingest_bronze(
     spark: SparkSession, topic: str, path: str, default_split: str, limit: int | None = None, servers: str | None = None
 ) -> None:
-    """Read a topic from its beginning and write its valid messages to bronze, at most ``limit`` of them."""
+    """Read a topic from its beginning and write its valid messages to bronze: the first ``limit`` ones, if given."""
     good = bronze_from_messages(topic_batch(spark, topic, servers), default_split).good
-    write_layer(good if limit is None else good.limit(limit), path)
+    if limit is not None:
+        good = first_rows(good.withColumn("_arrival", F.monotonically_increasing_id()), limit, "_arrival")
+    write_layer(good, path)
 
 
 def build_silver(spark: SparkSession, bronze_path: str, silver_path: str, split: str) -> DataFrame:

@@ -126,7 +126,8 @@ def test_identity(spark):
 
 
 def test_predict_rows(spark, plan):
-    requests = spark.createDataFrame([("a", None, "<b> </b>"), ("b", None, "<i>Good</i> FILM"), ("c", None, None)], "request_id string, id string, text string")
+    rows = [("a", None, "<b> </b>"), ("b", None, "<i>Good</i> FILM"), ("c", None, None)]
+    requests = spark.createDataFrame(rows, "request_id string, id string, text string")
 
     def encode(df):
         return df.withColumn("embedding", F.array(F.length("cleaned_text").cast("float")))

@@ -12,7 +12,8 @@ from silverloom.sources.jsonl import read_jsonl
 def raw(spark, n, offset=0):
     words = F.array(F.lit("good fine great"), F.lit("bad poor awful"))
     df = spark.range(offset, offset + n).withColumnRenamed("id", "key")
-    text = F.concat(F.lit("<p>"), F.get(words, (F.col("key") % 2).cast("int")), F.lit("</p> Film "), F.col("key").cast("string"))
+    word = F.get(words, (F.col("key") % 2).cast("int"))
+    text = F.concat(F.lit("<p>"), word, F.lit("</p> Film "), F.col("key").cast("string"))
     return df.select("key", text.alias("text"), (1 - F.col("key") % 2).cast("int").alias("label"))
 
 
@@ -33,7 +34,8 @@ def test_backfill(spark, tmp_path):
 
 def test_one_split_without_evaluation(spark, tmp_path):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS single_db LOCATION '{tmp_path}/db'")
-    trained = backfill(spark, Places(str(tmp_path / "run"), "single_db"), {"train": raw(spark, 20)}, "key", test_split=None, size=64)
+    places = Places(str(tmp_path / "run"), "single_db")
+    trained = backfill(spark, places, {"train": raw(spark, 20)}, "key", test_split=None, size=64)
     assert set(trained.metrics) == {"train_accuracy"}
     assert [halves(n) for n in (50, 5, 1, 0)] == [(25, 25), (2, 3), (1, 1), (1, 1)]
 
@@ -47,3 +49,12 @@ def test_silver_is_not_written_twice(spark, tmp_path):
     assert build_silver(spark, bronze, silver, "train").count() == 3
     ingest_bronze(spark, topic, str(tmp_path / "few"), "train", limit=4)
     assert read_jsonl(spark, str(tmp_path / "few"), REVIEW).count() == 4
+
+
+def test_limit_takes_the_first_valid_messages(spark, tmp_path):
+    lines = [f'{{"id":"{i}"}}' if i % 3 else "bad" for i in range(30)]
+    (tmp_path / "topic").mkdir()
+    (tmp_path / "topic" / "a.txt").write_text("\n".join(lines))
+    ingest_bronze(spark, str(tmp_path / "topic"), str(tmp_path / "b"), "train", limit=7)
+    stored = read_jsonl(spark, str(tmp_path / "b"), REVIEW)
+    assert sorted(int(r["id"]) for r in stored.collect()) == [i for i in range(30) if i % 3][:7]

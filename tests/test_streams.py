@@ -160,10 +160,8 @@ def test_inference_with_trained_models(spark, tmp_path):
     model = train_classifier(gold_from_silver(silver, encoder), test_split=None).model
     topic = topic_of(tmp_path / "topic", [{"id": "a", "text": "GOOD film"}, {"id": "b", "text": "<i>bad</i> film"}, {"id": "c"}])
     sinks = sinks_of(tmp_path)
-    stream = inference_stream(
-        topic_stream(spark, topic), lambda df: encode(df, encoder, "cleaned_text"), lambda df: score(df, model), sinks, str(tmp_path / "c"), 64
-    )
-    drain(stream)
+    to_vector, to_score = (lambda df: encode(df, encoder, "cleaned_text")), (lambda df: score(df, model))
+    drain(inference_stream(topic_stream(spark, topic), to_vector, to_score, sinks, str(tmp_path / "c"), 64))
     stored = {r["request_id"]: r["pred_label"] for r in read_table(spark, sinks.predictions, PREDICTION).collect()}
     assert stored == {"a": 1, "b": 0, "c": 0}
 
