@@ -3,7 +3,6 @@
 import time
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,12 +15,11 @@ from silverloom.operators.messages import bronze_from_messages
 from silverloom.operators.sampling import first_rows
 from silverloom.plans.silver import silver_job
 from silverloom.schemas import GOLD, REVIEW
-from silverloom.session import is_missing_path
-from silverloom.sinks.files import publish, write_layer
+from silverloom.sinks.files import publish, write_layer, write_silver
 from silverloom.sinks.tables import append_table
-from silverloom.sources.jsonl import read_jsonl, read_lines
+from silverloom.sources.jsonl import read_lines
 from silverloom.sources.reviews import load_reviews
-from silverloom.sources.tables import load_table
+from silverloom.sources.tables import load_table, read_silver
 from silverloom.sources.topic import topic_batch
 
 
@@ -64,18 +62,8 @@ def build_silver(spark: SparkSession, bronze_path: str, silver_path: str, split:
     """One split of bronze to silver, without what silver holds already; returns the written silver of the split."""
     bronze = read_lines(spark, f"{bronze_path}/split={split}")
     result = silver_job(bronze, existing=read_silver(spark, silver_path, split))
-    write_layer(result.silver, silver_path)
-    return read_silver(spark, silver_path, split)
-
-
-def read_silver(spark: SparkSession, path: str, split: str) -> DataFrame | None:
-    """One split of silver; None before the first write."""
-    try:
-        return read_jsonl(spark, f"{path}/split={split}", REVIEW).select(*REVIEW.fieldNames())
-    except AnalysisException as error:
-        if is_missing_path(error):
-            return None
-        raise
+    write_silver(result.silver, silver_path)
+    return read_silver(spark, silver_path, split).select(*REVIEW.fieldNames())
 
 
 def build_gold(silver: DataFrame, encoder: PipelineModel, table: str, commit_id: int | None = None) -> None:

@@ -33,12 +33,12 @@ from silverloom.queries.data import (
     texts,
 )
 from silverloom.schemas import GOLD, REVIEW
-from silverloom.session import new_folder, written
-from silverloom.sinks.files import publish, read_csv, write_csv, write_gold_parquet, write_layer
+from silverloom.session import new_folder
+from silverloom.sinks.files import publish, read_csv, write_csv, write_gold_parquet, write_layer, write_silver
 from silverloom.sinks.tables import append_commit
 from silverloom.sources.jsonl import ORDER, read_jsonl, read_lines
 from silverloom.sources.reviews import load_reviews
-from silverloom.sources.tables import as_of, describe_gold, list_commits, list_objects, list_tables, read_table, row_counts
+from silverloom.sources.tables import as_of, describe_gold, list_commits, list_objects, list_tables, read_silver, read_table, row_counts
 from silverloom.sources.topic import topic_batch
 
 
@@ -106,7 +106,9 @@ def _two_batches(spark, sf):
         F.lit(None).cast("string").alias("request_id"),
     )
     first = silver_job(docs.join(labels, "doc_id", "left_anti"), order="doc_id").silver
-    return written(first, "silver"), docs.join(labels, "doc_id", "left_semi")
+    path = new_folder(spark, "silver")
+    write_silver(first, path)
+    return read_silver(spark, path), docs.join(labels, "doc_id", "left_semi")
 
 
 def silver_incremental(spark, sf):

@@ -12,6 +12,9 @@ REVIEW = T.StructType(
     ]
 )
 
+# Stored silver rows also carry the hash of their text, so that later batches compare keys without reading texts.
+SILVER = T.StructType([*REVIEW.fields, T.StructField("text_key", T.BinaryType())])
+
 GOLD = T.StructType(
     [
         T.StructField("id", T.StringType()),

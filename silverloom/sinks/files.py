@@ -3,7 +3,9 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from silverloom.operators.dedup import TEXT_KEY, text_key
 from silverloom.operators.messages import to_message
+from silverloom.schemas import REVIEW
 
 
 def write_layer(df: DataFrame, path: str, rows_per_file: int = 0, mode: str = "append") -> None:
@@ -15,6 +17,12 @@ def write_layer(df: DataFrame, path: str, rows_per_file: int = 0, mode: str = "a
     lines.write.mode(mode).partitionBy("split").option("maxRecordsPerFile", rows_per_file).text(path)
 
 
+def write_silver(df: DataFrame, path: str, mode: str = "append") -> None:
+    """Silver as Parquet below ``path/split=<split>/``, each row with its ``text_key``."""
+    keyed = df.select(*REVIEW.fieldNames(), text_key(F.col("text")).alias(TEXT_KEY))
+    keyed.write.mode(mode).partitionBy("split").parquet(path)
+
+
 def write_gold_parquet(df: DataFrame, path: str, mode: str = "append") -> None:
     df.write.mode(mode).option("compression", "snappy").parquet(path)
 

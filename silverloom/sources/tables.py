@@ -4,10 +4,14 @@ A table is a Parquet folder (or a catalog table) partitioned by ``commit_id``. T
 it orders the commits and dates them.
 """
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from silverloom.schemas import SILVER
+from silverloom.session import is_missing_path
+
 COMMIT = "commit_id"
 
 
@@ -75,6 +79,17 @@ def list_objects(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
     return files.select(F.col("path").alias("object_key"), F.col("length").alias("n_bytes"), "modificationTime")
 
 
+def read_silver(spark: SparkSession, path: str, split: str | None = None) -> DataFrame | None:
+    """Stored silver, or one split of it; None before the first write."""
+    try:
+        silver = spark.read.schema(SILVER).parquet(path)
+    except AnalysisException as error:
+        if is_missing_path(error):
+            return None
+        raise
+    return silver if split is None else silver.where(F.col("split") == split)
+
+
 def lookup(table: DataFrame, request_id: str) -> DataFrame:
     """Rows of one request; the equality reaches the Parquet scan."""
     return table.where(F.col("request_id") == request_id)

@@ -4,9 +4,11 @@ from pyspark.sql import functions as F
 
 from silverloom.models.store import load_model
 from silverloom.plans.jobs import Places, backfill, build_silver, halves, ingest_bronze, is_ready
+from silverloom.plans.silver import silver_job
 from silverloom.schemas import REVIEW
 from silverloom.sinks.files import publish
-from silverloom.sources.jsonl import read_jsonl
+from silverloom.sources.jsonl import read_jsonl, read_lines
+from silverloom.sources.tables import read_silver
 
 
 def raw(spark, n, offset=0):
@@ -40,13 +42,16 @@ def test_one_split_without_evaluation(spark, tmp_path):
     assert [halves(n) for n in (50, 5, 1, 0)] == [(25, 25), (2, 3), (1, 1), (1, 1)]
 
 
-def test_silver_is_not_written_twice(spark, tmp_path):
+def test_silver_is_not_written_twice(spark, tmp_path, plan):
     topic, bronze, silver = (str(tmp_path / n) for n in ("topic", "bronze", "silver"))
     rows = [(str(i), f"text {i % 3}", 1, "train", None) for i in range(9)]
     publish(spark.createDataFrame(rows, REVIEW), topic)
     ingest_bronze(spark, topic, bronze, "train")
+    assert read_silver(spark, silver) is None
     assert build_silver(spark, bronze, silver, "train").count() == 3
     assert build_silver(spark, bronze, silver, "train").count() == 3
+    again = silver_job(read_lines(spark, bronze), existing=read_silver(spark, silver, "train")).silver
+    assert "ReadSchema: struct<label:int,text_key:binary>" in plan(again) and again.count() == 0
     ingest_bronze(spark, topic, str(tmp_path / "few"), "train", limit=4)
     assert read_jsonl(spark, str(tmp_path / "few"), REVIEW).count() == 4
 
