@@ -82,7 +82,7 @@ def test_silver_equals_batch_and_survives_a_replay(spark, tmp_path):
     drain(silver_stream(topic_stream(spark, topic, max_per_trigger=1), path, str(tmp_path / "c")))
     assert keys(spark.read.parquet(path)) == want
     plain = str(tmp_path / "plain")
-    drain(silver_stream(topic_stream(spark, topic), plain, str(tmp_path / "c2"), dedup=False))
+    drain(silver_stream(topic_stream(spark, topic), plain, str(tmp_path / "c2"), dedup=False), timeout=300)
     assert spark.read.parquet(plain).count() == good.count()
 
 
@@ -218,3 +218,10 @@ def test_publish_and_pace(spark, tmp_path):
     finally:
         query.stop()
     assert read_jsonl(spark, str(tmp_path / "b"), REVIEW).count() == 2
+
+
+def test_drain_gives_up_in_time(spark, tmp_path):
+    topic = topic_of(tmp_path / "topic", *MESSAGES)
+    slow = topic_stream(spark, topic).writeStream.foreachBatch(lambda batch, batch_id: time.sleep(20))
+    with pytest.raises(TimeoutError):
+        drain(slow.option("checkpointLocation", str(tmp_path / "c")), timeout=1)
