@@ -16,7 +16,6 @@ import base64
 import os
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +28,7 @@ from silverloom.llm.ship import ship
 #: Characters of a text whose pieces are held at once.
 PART = 1 << 20
 #: Characters of pieces that a worker remembers.
-CACHE = 1 << 23
+CACHE = 1 << 22
 
 
 @lru_cache(maxsize=1)
@@ -67,36 +66,30 @@ class Coder:
         for name, i in self.model.get_vocab().items():
             self.table[i] = bytes(to_byte[c] for c in name)
         self.lengths = np.array([len(t) for t in self.table], np.int64)
-        self.seen: dict[str, list[int]] = {}
+        self.seen: dict[str, bytes] = {}  # ids as 32-bit integers
         self.held = 0
 
-    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        """The ids of each text."""
-        for text in texts:
-            parts = [self._part(part) for part in cut(text or "", PART)]
-            yield parts[0] if len(parts) == 1 else np.concatenate(parts)
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The ids of each text; together the texts are short, or there is one."""
+        if len(texts) == 1 and len(texts[0] or "") > PART:  # one part after the other
+            return [np.concatenate([self._ids(self.find(part)) for part in cut(texts[0], PART)])]
+        found = [self.find(text or "") for text in texts]
+        self._learn(set().union(*found))
+        return [self._ids(pieces, known=True) for pieces in found]
 
-    def learn(self, texts: list[str | None]) -> None:
-        """Encode the pieces of short texts that are not known yet, in one call."""
-        self._add({p for t in texts if t and len(t) <= PART for p in self.find(t)})
-
-    def _add(self, pieces: set[str]) -> None:
+    def _learn(self, pieces: set[str]) -> None:
+        """Encode the pieces that are not known yet, in one call."""
         if self.held > CACHE:
             self.seen, self.held = {}, 0
         new = [p for p in pieces if p not in self.seen]
         for piece, encoded in zip(new, self.model.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.seen[piece] = encoded.ids
+            self.seen[piece] = np.array(encoded.ids, np.int32).tobytes()
             self.held += len(piece)
 
-    def _part(self, text: str) -> np.ndarray:
-        pieces = self.find(text)
-        try:
-            return np.fromiter(chain.from_iterable(map(self.seen.__getitem__, pieces)), np.int32)
-        except KeyError:
-            self._add(set(pieces))
-            missing = {p for p in set(pieces) if p not in self.seen}
-            assert not missing
-            return np.fromiter(chain.from_iterable(map(self.seen.__getitem__, pieces)), np.int32)
+    def _ids(self, pieces: list[str], known: bool = False) -> np.ndarray:
+        if not known:
+            self._learn(set(pieces))
+        return np.frombuffer(b"".join(map(self.seen.__getitem__, pieces)), np.int32)
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.table.__getitem__, ids))
@@ -174,7 +167,6 @@ def token_ids(text: Column, vocabulary: Vocabulary) -> Column:
     def ids(column: pa.Array) -> pa.Array:
         coder, out = vocabulary.coder(), []
         for texts in _texts(column):
-            coder.learn(texts)
             out += coder.encode(texts)
         return _lists(out, pa.int32())
 
