@@ -37,6 +37,8 @@ WINDOW = 400
 SEED = 304
 DEPTH = WINDOW - SEED + 1
 SLICE = 1 << 21
+#: Symbols of a shard, on average. The number of shards grows with the text, and a shard may be many times larger.
+SHARD = 1 << 22
 
 
 def _anchors(column: pa.Array) -> tuple[np.ndarray, np.ndarray, Anchors]:
@@ -118,7 +120,9 @@ def repeated_windows(strings: DataFrame) -> DataFrame:
                 lists = pa.array([f.astype(np.int32) for f in found if len(f)], pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([pa.array(seed[some]), pa.array(context[some]), lists], ["seed", "context", "distances"])
 
-    return strings.repartition("seed").mapInArrow(sort, "seed long, context long, distances array<int>")
+    size = strings.agg(F.sum(F.octet_length("before") + F.octet_length("behind") + 2)).first()[0] or 0
+    shards = -(-size // SHARD) or 1
+    return strings.repartition(shards, "seed").mapInArrow(sort, "seed long, context long, distances array<int>")
 
 
 def marks(docs: DataFrame) -> DataFrame:
@@ -133,7 +137,8 @@ def marks(docs: DataFrame) -> DataFrame:
     by_key = settled(by_key, "marks")
     strings = open_strings(docs.join(by_key.where(F.size("open") > 0).select("key", "open"), "key"))
     values = [F.first(c).alias(c) for c in ("before", "behind", "least", "most")]
-    found = settled(repeated_windows(strings.groupBy("seed", "context").agg(*values)), "repeated")
+    strings = settled(strings.groupBy("seed", "context").agg(*values), "strings")
+    found = settled(repeated_windows(strings), "repeated")
     alone = groups.where("n = 1").select("seed", "context", F.col("owner").alias("key"))
     found = alone.join(found, ["seed", "context"]).groupBy("key").agg(F.collect_list(F.struct("context", "distances")).alias("found"))
     return settled(by_key.select("key", "known").join(found, "key", "left"), "byte_marks")
