@@ -35,7 +35,7 @@ LEAST = 0.9
 #: Vectors that the codes are fitted on; bounds of the number of lists, which is twice the root of the number of vectors.
 FIT, LISTS = 20_000, (1, 4096)
 PARTS, CODES = 8, 64
-MARGIN = 0.35
+MARGIN = 0.12
 BLOCK = 1024
 #: Queries that are compared with a block at once.
 TOGETHER = 256
@@ -85,11 +85,11 @@ def _clusters(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
 
 
 def fit(vectors: DataFrame, lists: int) -> Codebook:
-    """A codebook from a sample of unit vectors ``x``; ``vectors`` has node and x."""
+    """A codebook from a sample of the vectors ``x``; ``vectors`` has node and x."""
     count = vectors.count()
     chance = F.pmod(F.xxhash64("node", F.lit("fit")), F.lit(1 << 20)) / F.lit(float(1 << 20))
     rows = vectors.where(chance < min(1.0, FIT / max(count, 1))).orderBy(F.xxhash64("node")).select("x").toArrow()["x"]
-    x = np.array(rows.to_pylist() or [vectors.first()["x"]], np.float64)
+    x = _units(rows.combine_chunks() if len(rows) else vectors.limit(1).select("x").toArrow()["x"].combine_chunks())
     centres = _clusters(x, min(lists, len(x)))
     edges = np.unique(np.linspace(0, x.shape[1], PARTS + 1).astype(int))
     book = Codebook(centres, np.empty(0), edges)
@@ -99,9 +99,13 @@ def fit(vectors: DataFrame, lists: int) -> Codebook:
     return Codebook(centres, np.stack(parts), edges)
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    values = column.flatten().to_numpy(zero_copy_only=False)
-    return values.reshape(len(column), -1).astype(np.float64) if len(column) else np.empty((0, 0))
+def _units(column: pa.Array) -> np.ndarray:
+    """Vectors brought to length 1, in double precision; by the largest component first, so that no square is lost."""
+    if not len(column):
+        return np.empty((0, 0))
+    x = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1).astype(np.float64)
+    x /= np.abs(x).max(1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 def _index(vectors: DataFrame, book) -> DataFrame:
@@ -112,13 +116,14 @@ def _index(vectors: DataFrame, book) -> DataFrame:
         for batch in batches:
             for i in range(0, batch.num_rows, BLOCK):
                 part = batch.slice(i, BLOCK)
-                d, near = b.place(_matrix(part.column("x")))
+                d, near = b.place(_units(part.column("x")))
                 least = d[np.arange(len(near)), near]
                 probes = [np.flatnonzero(row <= low + MARGIN).astype(np.int32) for row, low in zip(d, least, strict=True)]
                 columns = [*part.columns, pa.array(near.astype(np.int32)), pa.array(least), pa.array(probes, pa.list_(pa.int32()))]
                 yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, "list", "least", "probes"])
 
-    return vectors.select("node", "n", "x").mapInArrow(place, "node long, n long, x array<double>, list int, least double, probes array<int>")
+    kind = vectors.schema["x"].dataType.simpleString()
+    return vectors.select("node", "n", "x").mapInArrow(place, f"node long, n long, x {kind}, list int, least double, probes array<int>")
 
 
 def _forest(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
@@ -142,21 +147,20 @@ class _Block:
         table = pa.Table.from_batches(rows).combine_chunks()
         self.book, self.centre = book, book.centres[at]
         self.node, self.n, self.least = (table[c].to_numpy() for c in ("node", "n", "least"))
-        self.x = _matrix(table["x"].combine_chunks())
+        self.x = _units(table["x"].combine_chunks())
         self.codes, self.missed = book.encode(self.x - self.centre)
-        self.norm = np.linalg.norm(self.x, axis=1)
 
     def search(self, part: pa.RecordBatch, at: int) -> tuple[np.ndarray, ...] | None:
         """(a, b, links): links found for a, and a forest of the links."""
         node, n, home = (part.column(c).to_numpy() for c in ("node", "n", "list"))
-        q = _matrix(part.column("x"))
+        q = _units(part.column("x"))
         tables = self.book.tables(q - self.centre)
         near = np.zeros((len(q), len(self.x)))
         for i in range(tables.shape[1]):
             near += tables[:, i][:, self.codes[:, i]]
         reach = sqrt(2 - 2 * LEAST) + 1e-6 + self.missed
         i, j = np.nonzero((near <= reach**2) & (node[:, None] != self.node))
-        cosine = np.einsum("ij,ij->i", q[i], self.x[j]) / (np.linalg.norm(q, axis=1)[i] * self.norm[j])
+        cosine = np.einsum("ij,ij->i", q[i], self.x[j])
         i, j = i[cosine >= LEAST], j[cosine >= LEAST]
         if not len(i):
             return None
@@ -215,7 +219,8 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     ship(spark)
     x = F.col("x")
     sound = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists(x, lambda v: v != 0)
-    rows = vectors.select(F.col(vec_id).alias("vec_id"), F.col(embedding).cast("array<double>").alias("x"))
+    kind = "array<float>" if vectors.schema[embedding].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = vectors.select(F.col(vec_id).alias("vec_id"), F.col(embedding).cast(kind).alias("x"))
     rows = rows.select("vec_id", "x", F.coalesce(sound & F.col("vec_id").isNotNull(), F.lit(False)).alias("sound"))
     rows = rows.withColumns({"e": F.when(F.col("sound"), F.xxhash64("x")), "f": F.when(F.col("sound"), F.xxhash64(F.lit("second"), "x"))})
     common = rows.where("sound").groupBy(F.size("x").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
@@ -226,14 +231,9 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     classes = settled(
         classes.agg(F.min("vec_id").cast("long").alias("node"), F.count(F.lit(1)).alias("n"), F.first("x").alias("x")), "vectors"
     )
-    largest = F.array_max(F.transform("x", F.abs))  # first, so that squares neither vanish nor overflow
-    scaled = F.transform("x", lambda v: v / F.col("largest"))
-    norm = F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v))
-    units = classes.withColumn("largest", largest).withColumn("x", scaled).withColumn("norm", norm)
-    units = settled(units.select("node", "n", F.transform("x", lambda v: v / F.col("norm")).alias("x")), "units")
-    lists = min(LISTS[1], max(LISTS[0], round(2 * sqrt(units.count()))))
-    book = spark.sparkContext.broadcast(fit(units, lists))
-    index = settled(_index(units, book), "inverted_lists")
+    lists = min(LISTS[1], max(LISTS[0], round(2 * sqrt(classes.count()))))
+    book = spark.sparkContext.broadcast(fit(classes, lists))
+    index = settled(_index(classes, book), "inverted_lists")
     sizes = index.groupBy("list").count().collect()  # one row for each list
     found = settled(_links(index, book, {r["list"]: -(-r["count"] // BLOCK) for r in sizes}), "vector_links")
     counts = found.where("not forest").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
