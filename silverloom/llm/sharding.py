@@ -62,6 +62,18 @@ def _room(labels: DataFrame, quota: int, shards: int) -> list[int]:
     return [max(0, quota - held.get(s, 0)) for s in range(shards)]
 
 
+def _fitting(wanted: list[tuple[int, int, int]], room: list[int]) -> list[float]:
+    """For each shard the part of the rows asking for it that fits, with the room that rows leave by the same rule."""
+    fits = [1.0] * len(room)
+    asking = [sum(n for _, target, n in wanted if target == s) for s in range(len(room))]
+    for _ in range(100):
+        leaving = [0.0] * len(room)
+        for shard, target, n in wanted:
+            leaving[shard] += n * fits[target]
+        fits = [min(f, (r + out) / a) if a else 0.0 for f, r, out, a in zip(fits, room, leaving, asking, strict=True)]
+    return fits
+
+
 def propagate(labels: DataFrame, quota: int, shards: int, rounds: int = ROUNDS) -> DataFrame:
     """Move linked rows (g, h, rows of the group in ``n``, shard) towards their neighbours, within the quotas."""
     for turn in range(rounds):
@@ -69,11 +81,10 @@ def propagate(labels: DataFrame, quota: int, shards: int, rounds: int = ROUNDS)
         strongest = F.max_by("shard", F.struct("votes", F.xxhash64("g", "shard"))).alias("target")
         targets = settled(votes.groupBy("g", "h").agg(strongest), "targets")
         asked = settled(labels.join(targets, ["g", "h"]), "asked")
-        wanted = dict(asked.where("shard <> target").groupBy("target").agg(F.count(F.lit(1))).collect())
-        room = _room(labels, quota, shards)
+        wanted = asked.where("shard <> target").groupBy("shard", "target").agg(F.count(F.lit(1))).collect()
         if not wanted:
             break
-        fits = F.array(*[F.lit(min(1.0, room[s] / wanted[s]) if s in wanted else 0.0) for s in range(shards)])
+        fits = F.array(*[F.lit(x) for x in _fitting([tuple(r) for r in wanted], _room(labels, quota, shards))])
         whole = _chance("g", "h", F.lit(turn))
         single = _chance("g", "doc_id", "size", F.lit(turn))
         chance = F.when(F.col("n") * 8 > quota, single).otherwise(whole)
