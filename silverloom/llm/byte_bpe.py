@@ -3,7 +3,7 @@
 A rank file (one base64 token and its rank a line) becomes a BPE model over the 256 printable stand-ins of the bytes. Each
 token is a merge of every pair of ranked tokens that spells it, in the order of ranks, and a piece that is itself a token is
 taken whole; that is the rule of rank-based encoders, and the tests compare ids with one. Pieces are cut with the pattern of
-the vocabulary and encoded once per distinct piece and slice, so a frequent word costs a table lookup.
+the vocabulary and encoded once while a worker remembers them, so a frequent word costs a table lookup.
 
 Defined results: a null or empty text has no ids and decodes to zero bytes; null ids decode to null. A column of the input
 that has the name of an output column is replaced by it. Rows are independent: repeated rows, ties and other columns change
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import os
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,9 +27,9 @@ from pyspark.sql import functions as F
 from silverloom.llm.ship import ship
 
 #: Characters of a text whose pieces are held at once.
-PART = 1 << 20
+PART = 1 << 18
 #: Characters of pieces that a worker remembers.
-CACHE = 1 << 22
+CACHE = 2 << 20
 
 
 @lru_cache(maxsize=1)
@@ -66,31 +67,29 @@ class Coder:
         for name, i in self.model.get_vocab().items():
             self.table[i] = bytes(to_byte[c] for c in name)
         self.lengths = np.array([len(t) for t in self.table], np.int64)
-        self.seen: dict[str, bytes] = {}  # ids as 32-bit integers
+        self.pieces: dict[str, bytes] = {}  # ids as 32-bit integers
         self.held = 0
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text; together the texts are short, or there is one."""
         if len(texts) == 1 and len(texts[0] or "") > PART:  # one part after the other
-            return [np.concatenate([self._ids(self.find(part)) for part in cut(texts[0], PART)])]
-        found = [self.find(text or "") for text in texts]
+            return [np.concatenate([self._ids([part])[0] for part in cut(texts[0], PART)])]
+        return self._ids([text or "" for text in texts])
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        found = [self.find(text) for text in texts]
         self._learn(set().union(*found))
-        return [self._ids(pieces, known=True) for pieces in found]
+        return [np.frombuffer(b"".join(map(self.pieces.__getitem__, own)), np.int32) for own in found]
 
     def _learn(self, pieces: set[str]) -> None:
         """Encode the pieces that are not known yet, in one call."""
         if self.held > CACHE:
-            self.seen, self.held = {}, 0
-        new = [p for p in pieces if p not in self.seen]
+            self.pieces, self.held = {}, 0
+        new = [p for p in pieces if p not in self.pieces]
         for piece, encoded in zip(new, self.model.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.seen[piece] = np.array(encoded.ids, np.int32).tobytes()
+            self.pieces[piece] = array("i", encoded.ids).tobytes()
             self.held += len(piece)
 
-    def _ids(self, pieces: list[str], known: bool = False) -> np.ndarray:
-        if not known:
-            self._learn(set(pieces))
-        return np.frombuffer(b"".join(map(self.seen.__getitem__, pieces)), np.int32)
-
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.table.__getitem__, ids))
 

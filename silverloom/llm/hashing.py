@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 MASK = (1 << 64) - 1
 BASE = 0x9E3779B97F4A7C15
 #: Bytes whose positions are hashed at once.
-SLICE = 1 << 20
+SLICE = 1 << 16
 _VALUES = np.random.default_rng(20_011).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True

@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -100,16 +101,13 @@ def bundles(texts: list[str | None], dimensions: int) -> tuple[np.ndarray, np.nd
 
 
 def _groups(column: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
-    """Runs of texts of about LETTERS characters together."""
-    held, size, start = [], 0, 0
-    for i, text in enumerate(column.to_pylist()):
-        if held and size + len(text or "") > LETTERS:
-            yield start, held
-            held, size, start = [], 0, i
-        held.append(text)
-        size += len(text or "")
-    if held:
-        yield start, held
+    """Runs of texts of about LETTERS bytes together, and where they begin."""
+    at = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))])
+    i = 0
+    while i < len(column):
+        j = max(i + 1, int(np.searchsorted(at, at[i] + LETTERS, side="right")) - 1)
+        yield i, column.slice(i, j - i).to_pylist()
+        i = j
 
 
 @dataclass

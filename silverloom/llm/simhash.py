@@ -74,7 +74,7 @@ def fingerprint(text: Column, size: int = SHINGLE) -> Column:
 
     @F.arrow_udf("long")
     def prints(column: pa.Array) -> pa.Array:
-        found = [fingerprint_of((t or "").encode(), size) for t in column.to_pylist()]
+        found = [fingerprint_of((t.as_py() or "").encode(), size) for t in column]
         return pa.array(np.array(found, np.uint64).view(np.int64))
 
     return prints(text)

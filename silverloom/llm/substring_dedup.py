@@ -33,7 +33,7 @@ from silverloom.llm.tables import settled
 WINDOW = 13
 SEED = 5
 #: Bytes of text that a task looks at together.
-SLICE = 1 << 21
+SLICE = 1 << 20
 _SECOND = 0xD6E8FEB86659FD93
 
 

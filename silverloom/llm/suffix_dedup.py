@@ -36,7 +36,7 @@ from silverloom.llm.tables import settled
 WINDOW = 400
 SEED = 304
 DEPTH = WINDOW - SEED + 1
-SLICE = 1 << 21
+SLICE = 1 << 20
 #: Symbols of a shard, on average. The number of shards grows with the text, and a shard may be many times larger.
 SHARD = 1 << 22
 
