@@ -1,12 +1,11 @@
 """Fixed values that results depend on."""
 
-# Split names and the defaults used when a record does not carry one.
-SPLITS = ("train", "test", "inference", "unknown")
+# Defaults used when a record does not carry a split.
 UNKNOWN_SPLIT = "unknown"
 INFERENCE_SPLIT = "inference"
 
-# Markup: one tag, from "<" to the next ">". The possessive form matches the same tags without backtracking.
-HTML_TAG = r"<[^>]++>"
+# Fixed value. Markup: one tag, from "<" to the next ">".
+HTML_TAG = r"<[^>]+>"
 
 # White space as Python's str.split() sees it: the Unicode White_Space property and the four ASCII separators.
 # The property is one predicate for the Java regex engine, several times faster than spelling out the ranges.
@@ -17,14 +16,12 @@ SCORE_THRESHOLD = 0.5
 DEFAULT_MODEL_VERSION = "logreg"
 
 # Text encoding.
-MAX_TOKENS = 512
 ENCODE_BATCH = 32
 VECTOR_SIZE = 768
 
-# Training and projection samples.
+# Training: a fit takes a sample of at most so many rows unless the caller says otherwise.
 SEED = 42
 MAX_TRAIN_ROWS = 5000
-MAX_PROJECTION_POINTS = 1500
 MAX_ITERATIONS = 2000
 
 # Upper bounds of the latency histograms, in seconds.

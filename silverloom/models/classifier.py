@@ -1,6 +1,5 @@
 """Logistic regression on vectors, and on texts."""
 
-import math
 from collections.abc import Callable
 from typing import NamedTuple
 
@@ -11,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from silverloom.constants import MAX_ITERATIONS, MAX_TOKENS, MAX_TRAIN_ROWS, SEED
+from silverloom.constants import MAX_ITERATIONS, MAX_TRAIN_ROWS, SEED
 from silverloom.functions.scores import threshold_label
 from silverloom.models.encode import VECTOR, text_stages
 from silverloom.models.store import load_model, model_exists
@@ -22,9 +21,6 @@ from silverloom.operators.splits import split_filter, split_filter_or_all
 FEATURES = "_features"
 LABEL = "_label"
 
-# The optimiser runs one job per pass. Tasks with fewer rows than this cost more to start than to run.
-ROWS_PER_TASK = 10_000
-
 
 class Trained(NamedTuple):
     model: PipelineModel
@@ -45,11 +41,6 @@ def _regression(features: str, n_rows: int) -> LogisticRegression:
     )
 
 
-def _in_few_tasks(df: DataFrame, n_rows: int) -> DataFrame:
-    """No more tasks than the rows are worth; a large frame keeps its own."""
-    return df.coalesce(math.ceil(n_rows / ROWS_PER_TASK))
-
-
 def positive_score() -> Column:
     """Probability of class 1 in a transformed frame."""
     return vector_to_array(F.col("probability")).getItem(1)
@@ -92,14 +83,15 @@ def train_classifier(
 
     Without ``test`` the test rows come from ``train`` by split, and an empty split gives no test accuracy; a separate
     ``test`` table falls back to all of its rows. ``test_split=None`` skips the evaluation. Only the vector, the label
-    and the sampling key are read.
+    and the sampling key are read. The fit takes an exact seeded sample of ``max_records`` training rows (all, with None);
+    the test accuracy is that of every test row.
     """
     rows = sample_exact(split_filter_or_all(train, train_split, split), max_records, key, seed)
     rows = rows.select(embedding, F.col(label).cast("double").alias(LABEL)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n = require_two_classes(rows, LABEL)
         vectors = rows.withColumn(FEATURES, array_to_vector(F.col(embedding)))
-        fitted = _regression(FEATURES, n).fit(_in_few_tasks(vectors.select(FEATURES, LABEL), n))
+        fitted = _regression(FEATURES, n).fit(vectors.select(FEATURES, LABEL))
         model = PipelineModel([fitted])
         metrics = {"train_accuracy": _measure(rows, model, embedding, LABEL)}
         history = list(fitted.summary.objectiveHistory)
@@ -110,7 +102,7 @@ def train_classifier(
             held_out = split_filter(train, test_split, split)
         else:
             held_out = split_filter_or_all(test, test_split, split)
-        measured = _measure(sample_exact(held_out, max_records, key, seed), model, embedding, label)
+        measured = _measure(held_out, model, embedding, label)
         if measured is not None:
             metrics["test_accuracy"] = measured
     return Trained(model, metrics, history)
@@ -120,23 +112,26 @@ def train_text_model(
     train: DataFrame,
     test: DataFrame | None = None,
     size: int = 1 << 12,
-    max_tokens: int = MAX_TOKENS,
+    max_tokens: int | None = None,
 ) -> Trained:
     """One supervised model from cleaned text to label, evaluated on ``test`` when it has rows.
 
     The text stages of the result are also an encoder, so training and scoring share one encoding.
     """
-    rows = train.select("text", F.col("label").cast("double").alias(LABEL)).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = train.select("text", F.col("label").cast("double").alias(LABEL))
+    vectors = None
     try:
         n = require_two_classes(rows, LABEL)
         to_vectors = Pipeline(stages=text_stages(size, max_tokens)).fit(rows)
-        vectors = to_vectors.transform(rows).select(VECTOR, LABEL)
-        fitted = _regression(VECTOR, n).fit(_in_few_tasks(vectors, n))
+        vectors = to_vectors.transform(rows).select(VECTOR, LABEL).persist(StorageLevel.MEMORY_AND_DISK)
+        fitted = _regression(VECTOR, n).fit(vectors)
         history = list(fitted.summary.objectiveHistory)
         model = PipelineModel([*to_vectors.stages, fitted])
-        metrics = {"train_accuracy": _text_accuracy(rows, model)}
+        scored = fitted.transform(vectors).select(threshold_label(positive_score()).alias("pred_label"), LABEL)
+        metrics = {"train_accuracy": accuracy(scored, "pred_label", LABEL).first()["accuracy"]}
     finally:
-        rows.unpersist()
+        if vectors is not None:
+            vectors.unpersist()
     if test is not None:
         held_out = test.select("text", F.col("label").cast("double").alias(LABEL))
         measured = _text_accuracy(held_out, model)

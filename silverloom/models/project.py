@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from silverloom.constants import MAX_PROJECTION_POINTS, SEED
+from silverloom.constants import SEED
 from silverloom.functions.text import preview
 from silverloom.operators.sampling import sample_exact
 from silverloom.operators.splits import split_filter_or_all
@@ -53,14 +53,17 @@ def apply_projection(df: DataFrame, projection: Projection, embedding: str = "em
 def project_2d(
     gold: DataFrame,
     new_points: DataFrame | None = None,
-    max_points: int | None = MAX_PROJECTION_POINTS,
+    max_points: int | None = None,
     seed: int = SEED,
     key: str = "id",
 ) -> tuple[DataFrame, Projection]:
-    """Fit on a sample of the training split (or of everything), and place the sample and the new points."""
-    sample = sample_exact(split_filter_or_all(gold, "train"), max_points, key, seed)
-    projection = fit_projection(sample)
-    points = sample.withColumn("is_new", F.lit(False))
+    """Fit on the training split (or on everything) and place all of its points and the new ones.
+
+    With ``max_points`` the axes are fitted on an exact seeded sample of so many points; every point is still placed.
+    """
+    known = split_filter_or_all(gold, "train")
+    projection = fit_projection(sample_exact(known, max_points, key, seed))
+    points = known.withColumn("is_new", F.lit(False))
     if new_points is not None:
         points = points.unionByName(new_points.withColumn("is_new", F.lit(True)), allowMissingColumns=True)
     return apply_projection(points, projection), projection

@@ -6,16 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TEXT_KEY = "text_key"
-_KEY = ["text_key", "_label", "_split"]
+KEY = ["text_key", "_label", "_split"]
 
 
 def text_key(c: Column) -> Column:
-    """A fixed-width stand-in for a text of any length."""
-    return F.unhex(F.sha2(c, 256))
+    """A fixed-width stand-in for a text of any length; a null text counts as empty."""
+    return F.unhex(F.sha2(F.coalesce(c, F.lit("")), 256))
 
 
-def _with_key(df: DataFrame) -> DataFrame:
-    key = F.col(TEXT_KEY) if TEXT_KEY in df.columns else text_key(F.col("text"))
+def with_key(df: DataFrame) -> DataFrame:
+    key = text_key(F.col("text")) if TEXT_KEY not in df.columns else None
     return df.select(
         "*",
         *([] if TEXT_KEY in df.columns else [key.alias(TEXT_KEY)]),
@@ -30,7 +30,7 @@ def dedup_keys(df: DataFrame) -> DataFrame:
     A ``text_key`` column, when ``df`` stores one, is used instead of hashing the texts again, so only narrow columns
     are read.
     """
-    return _with_key(df).select(*_KEY).distinct()
+    return with_key(df).select(*KEY).distinct()
 
 
 def dedup_keep_first(
@@ -49,20 +49,20 @@ def dedup_keep_first(
     order = [order] if isinstance(order, str) else list(order)
     ordering = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     first = F.min_by(F.struct(*columns), ordering).alias("_first")
-    survivors = _with_key(df).groupBy(*_KEY).agg(first)
+    survivors = with_key(df).groupBy(*KEY).agg(first)
     if existing is not None:
-        survivors = survivors.join(dedup_keys(existing), _KEY, "left_anti")
+        survivors = survivors.join(dedup_keys(existing), KEY, "left_anti")
     return survivors.select("_first.*")
 
 
 def dedup_counts(df: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Rows read, kept and skipped, from the keys alone: no text is shuffled."""
-    groups = _with_key(df).groupBy(*_KEY).agg(F.count("*").alias("n"))
+    groups = with_key(df).groupBy(*KEY).agg(F.count("*").alias("n"))
     if existing is None:
         kept = F.lit(1)
     else:
         seen = dedup_keys(existing).withColumn("_seen", F.lit(True))
-        groups = groups.join(seen, _KEY, "left")
+        groups = groups.join(seen, KEY, "left")
         kept = F.when(F.col("_seen").isNull(), 1).otherwise(0)
     total = F.coalesce(F.sum("n"), F.lit(0))
     written = F.coalesce(F.sum(kept), F.lit(0))

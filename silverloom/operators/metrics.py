@@ -52,5 +52,5 @@ def require_two_classes(df: DataFrame, label: str = "label") -> int:
     if row["n_rows"] == 0:
         raise ValueError("no training rows")
     if row["n_labels"] < 2:
-        raise ValueError(f"training data has only one class (labels: [{row['min_label']}]); both are needed")
+        raise ValueError(f"every training row is labelled {row['min_label']}: nothing to tell apart")
     return row["n_rows"]

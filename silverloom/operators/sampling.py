@@ -12,8 +12,8 @@ from pyspark.sql import Window
 
 from silverloom.constants import SEED
 
-# Rows that may be sorted by one task.
-TOP_N_ROWS = 1_000_000
+# Keys, not rows, that may be sorted by one task.
+EDGE_KEYS = 65_536
 # One level of buckets: characters of the hash; quantile ranges of a numeric order, and parts of each range.
 _PREFIX = 4
 _RANGES = 256
@@ -25,11 +25,6 @@ def shuffle_key(key: str | Sequence[str], seed: int = SEED) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
 
 
-def shuffled(df: DataFrame, key: str | Sequence[str], seed: int = SEED) -> DataFrame:
-    """All rows in a seeded random order."""
-    return df.orderBy(shuffle_key(key, seed))
-
-
 def first_rows(df: DataFrame, n: int, key: str, seed: int | None = None) -> DataFrame:
     """The first ``n`` rows by ``key`` (numeric), or of the seeded shuffle when ``seed`` is given."""
     if seed is not None:
@@ -52,35 +47,31 @@ def _lowest_hashes(df: DataFrame, n: int, order: Column) -> DataFrame:
 
 
 def _lowest(df: DataFrame, n: int, order: Column, bucket_of: Callable[[DataFrame, int], Column]) -> DataFrame:
-    """The ``n`` rows lowest in ``order``.
+    """The ``n`` rows lowest in ``order``: all rows below the key of the row that comes after them.
 
     A plain top-n makes every task send its ``n`` lowest rows to one task: with many tasks that is the whole table. So
-    the rows are first counted per bucket of the order, which reads the key column only. Buckets that fit whole are kept
-    by a filter; the one bucket in which the n-th row lies is divided again until one task can sort it.
+    only the key column is read to find that key: rows are counted per bucket of the order, the bucket in which the n-th
+    row lies is divided again until it holds few keys, and one task sorts those. The rows themselves pass one filter.
     """
-    taken, inside, rest = F.lit(False), F.lit(True), n
+    inside, rest = F.lit(True), n
     for level in range(1, _LEVELS + 1):
         rows = df.where(inside)
         bucket = bucket_of(rows, level)
         cut = _cut(rows, bucket, rest)
         if cut is None:
-            return df.where(taken | inside) if level > 1 else df
-        if cut["total"] <= TOP_N_ROWS:
-            break
-        taken = taken | (inside & (bucket < cut["bucket"]))
+            return df
         inside = inside & (bucket == cut["bucket"])
         rest -= cut["before"]
-        if cut["n"] <= TOP_N_ROWS:
+        if cut["n"] <= EDGE_KEYS:
             break
-    edge = df.where(inside).orderBy(order).limit(rest)
-    return edge if rest == n else df.where(taken).unionByName(edge)
+    keys = df.where(inside).select(order.alias("_key")).orderBy("_key").limit(rest + 1)
+    return df.where(order < F.lit(keys.agg(F.max("_key")).first()[0]))
 
 
 def _cut(rows: DataFrame, bucket: Column, n: int) -> Row | None:
     """The bucket that holds the row after the ``n`` first ones, and how many rows come before it."""
     counts = rows.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
-    total = F.sum("n").over(Window.partitionBy(F.lit(0))).alias("total")
-    running = counts.select("bucket", "n", total, (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("before"))
+    running = counts.select("bucket", "n", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("before"))
     return running.where(F.col("before") + F.col("n") > n).orderBy("bucket").first()
 
 

@@ -5,19 +5,15 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Below this many requests their ids are sent to every task instead of shuffling the layers.
-FEW_REQUESTS = 100_000
-
 
 def request_trace(requests: DataFrame, layers: dict[str, DataFrame], key: str = "request_id") -> DataFrame:
     """One row per request with a boolean ``in_<layer>`` column per layer.
 
     All inputs meet in one aggregation on the request id, reduced in each task first, so a request with very many rows
-    in a layer costs no more than one row per task. When the requests are counted and few, each layer is first filtered
-    down to them.
+    in a layer costs no more than one row per task. Each layer is first reduced to
+    the requests by a semi join, for which Spark picks a broadcast or a shuffle by the sizes it knows.
     """
     wanted = requests.select(key).where(F.col(key).isNotNull()).distinct()
-    few = wanted.count() <= FEW_REQUESTS
 
     def marked(ids: DataFrame, mark: str) -> DataFrame:
         flags = [F.lit(name == mark).alias(f"in_{name}") for name in layers]
@@ -25,10 +21,7 @@ def request_trace(requests: DataFrame, layers: dict[str, DataFrame], key: str =
 
     inputs = [marked(wanted, "")]
     for name, layer in layers.items():
-        ids = layer.select(key)
-        if few:
-            ids = ids.join(F.broadcast(wanted), key, "left_semi")
-        inputs.append(marked(ids, name))
+        inputs.append(marked(layer.select(key).join(wanted, key, "left_semi"), name))
     stacked = reduce(DataFrame.unionByName, inputs)
     found = [F.bool_or(f"in_{name}").alias(f"in_{name}") for name in layers]
     return stacked.groupBy(key).agg(F.bool_or("_wanted").alias("_wanted"), *found).where("_wanted").drop("_wanted")

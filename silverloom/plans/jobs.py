@@ -11,10 +11,13 @@ from silverloom.constants import MAX_TRAIN_ROWS, SEED
 from silverloom.models.classifier import Trained, choose_encoder, train_classifier, train_text_model
 from silverloom.models.encode import fit_encoder, gold_from_silver
 from silverloom.models.store import model_exists, save_model
+from silverloom.operators.dedup import KEY as DEDUP_KEY
+from silverloom.operators.dedup import dedup_keys, with_key as with_dedup_key
 from silverloom.operators.messages import bronze_from_messages
 from silverloom.operators.sampling import first_rows
 from silverloom.plans.silver import silver_job
 from silverloom.schemas import GOLD, REVIEW
+from silverloom.session import written
 from silverloom.sinks.files import publish, write_layer, write_silver
 from silverloom.sinks.tables import append_table
 from silverloom.sources.jsonl import read_lines
@@ -48,26 +51,48 @@ def is_ready(spark: SparkSession, tables: list[str], models: list[str]) -> bool:
     return all(spark.catalog.tableExists(t) and not spark.table(t).isEmpty() for t in tables)
 
 
+def rejected_path(path: str) -> str:
+    """Where what a layer could not take is kept."""
+    return f"{path.rstrip('/')}_rejected"
+
+
 def ingest_bronze(
     spark: SparkSession, topic: str, path: str, default_split: str, limit: int | None = None, servers: str | None = None
 ) -> None:
-    """Read a topic from its beginning and write its valid messages to bronze: the first ``limit`` ones, if given."""
-    good = bronze_from_messages(topic_batch(spark, topic, servers), default_split).good
+    """Read a topic from its beginning and write its valid messages to bronze: the first ``limit`` ones, if given.
+
+    Messages that are not valid go to ``rejected_path(path)`` with the reason.
+    """
+    good, bad = bronze_from_messages(topic_batch(spark, topic, servers), default_split)
+    bad.write.mode("append").json(rejected_path(path))
     if limit is not None:
         good = first_rows(good.withColumn("_arrival", F.monotonically_increasing_id()), limit, "_arrival")
     write_layer(good, path)
 
 
 def build_silver(spark: SparkSession, bronze_path: str, silver_path: str, split: str) -> DataFrame:
-    """One split of bronze to silver, without what silver holds already; returns the written silver of the split."""
+    """One split of bronze to silver, without what silver holds already; returns the written silver of the split.
+
+    Lines that do not become silver go to ``rejected_path(silver_path)``.
+    """
     bronze = read_lines(spark, f"{bronze_path}/split={split}")
     result = silver_job(bronze, existing=read_silver(spark, silver_path, split))
+    result.quarantine.write.mode("append").json(rejected_path(silver_path))
     write_silver(result.silver, silver_path)
     return read_silver(spark, silver_path, split).select(*REVIEW.fieldNames())
 
 
+def _is_there(spark: SparkSession, path: str) -> bool:
+    file = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(file)
+
+
 def build_gold(silver: DataFrame, encoder: PipelineModel, table: str, commit_id: int | None = None) -> None:
-    """One commit of gold."""
+    """One commit of gold: the silver rows that the table does not hold yet."""
+    spark = silver.sparkSession
+    if spark.catalog.tableExists(table):
+        known = dedup_keys(spark.table(table).select("text", "label", "split"))
+        silver = written(with_dedup_key(silver).join(known, DEDUP_KEY, "left_anti").select(*silver.columns), "new_silver")
     append_table(gold_from_silver(silver, encoder), table, GOLD, commit_id)
 
 
@@ -82,19 +107,22 @@ def backfill(
     max_records: int | None = MAX_TRAIN_ROWS,
     seed: int = SEED,
 ) -> Trained | None:
-    """Everything from raw rows to a saved classifier; None when a former run has already built it.
+    """Everything from raw rows to a saved classifier; None when a former run has saved it.
+
+    A run that failed is taken up again: layers that are whole stay, and silver and gold take only what they lack.
 
     ``datasets`` maps a split to raw rows with ``text``, ``label`` and ``key``; it must hold ``train``. Each layer is
     written before the next one reads it. With ``test_split=None`` only the training split is built and nothing is
     evaluated.
     """
     splits = ["train"] + ([test_split] if test_split else [])
-    if is_ready(spark, [places.gold(s) for s in splits], [places.model, places.text_model]):
+    if is_ready(spark, [places.gold(s) for s in splits], [places.model]):
         return None
     topic, bronze, silver_path = (f"{places.root}/{layer}" for layer in ("topic", "bronze", "silver"))
-    for split in splits:
-        publish(load_reviews(datasets[split], split, key, limit, seed=seed), topic)
-    ingest_bronze(spark, topic, bronze, default_split="train")
+    if not _is_there(spark, f"{bronze}/_SUCCESS"):  # the topic and bronze are built anew until bronze is whole
+        for i, split in enumerate(splits):
+            publish(load_reviews(datasets[split], split, key, limit, seed=seed), topic, mode="append" if i else "overwrite")
+        ingest_bronze(spark, topic, bronze, default_split="train")
     silver = {split: build_silver(spark, bronze, silver_path, split) for split in splits}
 
     text_model = train_text_model(silver["train"], silver.get(test_split), size=size)
@@ -109,9 +137,3 @@ def backfill(
     trained = train_classifier(train, test, test_split=test_split, max_records=max_records, seed=seed)
     save_model(trained.model, places.model, trained.metrics, embedding="embedding", label="label", split="split")
     return trained
-
-
-def halves(count: int) -> tuple[int, int]:
-    """Rows to generate per class: equal halves, at least one each."""
-    first = max(1, count // 2)
-    return first, max(1, count - first)

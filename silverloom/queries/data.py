@@ -4,7 +4,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverloom.operators.messages import build_requests
-from silverloom.sources.tables import spread
 
 # Label fragments of a message, and what bronze and silver make of each. None: the record is rejected.
 LABEL_CASES = [
@@ -42,12 +41,9 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-TEXT_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
-
-
 def texts(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A table of texts, spread over all cores."""
-    return spread(table(spark, sf, name), TEXT_KEYS[name])
+    """A table of texts."""
+    return table(spark, sf, name)
 
 
 def split_of(key: Column) -> Column:
@@ -63,7 +59,7 @@ def split_sql(key: str) -> str:
 def reviews(spark: SparkSession, sf: str, how: str = "inner") -> DataFrame:
     """Documents with their label; with ``how='left'`` also the unlabelled ones, as label 0."""
     labels = table(spark, sf, "labels").select("doc_id", "quality")
-    docs = spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id").join(labels, "doc_id", how)
+    docs = table(spark, sf, "documents").select("doc_id", "text").join(labels, "doc_id", how)
     return docs.select(
         "doc_id",
         F.col("doc_id").cast("string").alias("id"),
@@ -81,7 +77,7 @@ REVIEWS_ALL_SQL = REVIEWS_SQL.replace("JOIN labels", "LEFT JOIN labels")
 
 def messages(spark: SparkSession, sf: str) -> DataFrame:
     """Every document as one message line; the label takes the forms of LABEL_CASES in turn."""
-    docs = spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
     case = F.pmod("doc_id", F.lit(N_CASES))
     body = F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), "text", split_of(F.col("doc_id")).alias("split")))
     fragments = F.array(*[F.lit(f) for f, _, _ in LABEL_CASES])

@@ -55,10 +55,13 @@ def text_previews(spark, sf):
     )
 
 
+TEMPLATE = "Note: {sentiment} ({sentiment})"
+
+
 def review_prompts(spark, sf):
     named = table(spark, sf, "labels").select("quality", sentiment_name(F.col("quality")).alias("sentiment"))
     prompts = named.select(
-        "sentiment", sentiment_label(F.col("sentiment")).alias("label"), review_prompt(F.col("sentiment")).alias("prompt")
+        "sentiment", sentiment_label(F.col("sentiment")).alias("label"), review_prompt(TEMPLATE, F.col("sentiment")).alias("prompt")
     )
     return prompts.groupBy("sentiment", "label", "prompt").agg(F.count("*").alias("n"))
 
@@ -93,10 +96,9 @@ ORACLE = {
   md5({ws_sql('html')}) AS blanks_only FROM pages""",
     "text_previews": f"""SELECT doc_id, substr(text, 1, 100) AS text_100, md5(substr({clean_sql('text')}, 1, 2000)) AS cleaned_2000,
   substr(md5(text), 1, 8) AS id_8 FROM documents""",
-    "review_prompts": """SELECT sentiment, label, 'Please write two to four paragraphs reviewing a film. The verdict must come across as strongly '
-  || sentiment || ', yet neither that word nor its opposite may appear.' AS prompt, count(*) AS n
+    "review_prompts": """SELECT sentiment, label, 'Note: ' || sentiment || ' (' || sentiment || ')' AS prompt, count(*) AS n
   FROM (SELECT CASE WHEN quality = 1 THEN 'positive' ELSE 'negative' END AS sentiment, CASE WHEN quality = 1 THEN 1 ELSE 0 END AS label FROM labels)
   GROUP BY ALL""",
-    "token_counts": f"""SELECT doc_id, least(512, {words_sql(clean_sql('text'))}) AS n_tokens
+    "token_counts": f"""SELECT doc_id, {words_sql(clean_sql('text'))} AS n_tokens
   FROM documents""",
 }

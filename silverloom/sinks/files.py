@@ -38,11 +38,11 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).options(header=True, escape='"', multiLine=True).csv(path)
 
 
-def publish(df: DataFrame, topic: str, servers: str | None = None) -> None:
-    """Send reviews or requests as JSON messages: to a broker when ``servers`` is given, else to text files."""
+def publish(df: DataFrame, topic: str, servers: str | None = None, mode: str = "append") -> None:
+    """Send reviews or requests as JSON messages: to a broker when ``servers`` is given, else to text files (in ``mode``)."""
     messages = df.select(to_message(df).alias("value"))
     if servers is None:
-        messages.write.mode("append").text(topic)
+        messages.write.mode(mode).text(topic)
     else:
         messages.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
 

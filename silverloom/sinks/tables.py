@@ -1,12 +1,13 @@
 """Append commits."""
 
 import time
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silverloom.sources.tables import COMMIT
+from silverloom.sources.tables import COMMIT, WRITER
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -20,6 +21,10 @@ def _conformed(df: DataFrame, schema: T.StructType) -> list[Column]:
     ]
 
 
+def now_stamp() -> int:
+    return int(time.time() * 1000)
+
+
 def append_commit(
     df: DataFrame,
     target: str,
@@ -27,28 +32,35 @@ def append_commit(
     commit_id: int | None = None,
     evolve: bool = False,
     max_rows_per_file: int = 0,
+    writer: str | None = None,
 ) -> int:
     """Add the rows of ``df`` to the Parquet table at path ``target`` as one commit; returns the commit id.
 
-    The table is made when missing. Columns the table does not know are left out, or added with ``evolve``. Writing a
-    commit id again replaces that commit, so a repeated call cannot duplicate rows.
+    The table is made when missing. Columns the table does not know are left out, or added with ``evolve``. Each writer
+    has a folder of its own in a commit: a fresh commit (no ``commit_id``) never meets another, even one of the same
+    millisecond, and writing a ``commit_id`` again replaces what the same ``writer`` wrote there, and nothing else.
     """
-    commit = int(time.time() * 1000) if commit_id is None else commit_id
+    fresh = commit_id is None
+    commit = now_stamp() if fresh else commit_id
+    own = writer or (uuid.uuid4().hex if fresh else "caller")
     extra = [c for c in df.columns if c not in schema.fieldNames()] if evolve else []
     rows = df.select(*_conformed(df, schema), *extra)
-    writer = rows.write.mode("overwrite").option("compression", "snappy")
+    out = rows.write.mode("errorifexists" if fresh else "overwrite").option("compression", "snappy")
     if max_rows_per_file:
-        writer = writer.option("maxRecordsPerFile", max_rows_per_file)
-    writer.parquet(f"{target.rstrip('/')}/{COMMIT}={commit}")
+        out = out.option("maxRecordsPerFile", max_rows_per_file)
+    out.parquet(f"{target.rstrip('/')}/{COMMIT}={commit}/{WRITER}={own}")
     return commit
 
 
 def append_table(df: DataFrame, name: str, schema: T.StructType, commit_id: int | None = None) -> int:
-    """The same for a catalog table, made when missing."""
-    commit = int(time.time() * 1000) if commit_id is None else commit_id
+    """The same for a catalog table, made when missing. A fresh commit comes after all that the table has."""
     rows = conform(df, schema)
     spark = df.sparkSession
-    if spark.catalog.tableExists(name):
+    there = spark.catalog.tableExists(name)
+    commit = now_stamp() if commit_id is None else commit_id
+    if there and commit_id is None:
+        commit = max(commit, (spark.table(name).agg(F.max(COMMIT)).first()[0] or 0) + 1)
+    if there:
         spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({COMMIT} = {int(commit)}) SELECT * FROM {{rows}}", rows=rows)
     else:
         stamped = rows.withColumn(COMMIT, F.lit(commit).cast("bigint"))

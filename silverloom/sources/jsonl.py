@@ -1,9 +1,11 @@
 """JSON lines: scan, parse, keep the malformed ones apart."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from silverloom.constants import WHITE_SPACE
+
 ORDER = "line_order"
 
 # Spark names the files of its text sink *.txt.
@@ -12,6 +14,11 @@ FILES = "*.{jsonl,json,txt}"
 MESSAGE_FIELDS = "id variant, text string, label variant, split variant, request_id variant"
 
 
+def strip_blanks(line: Column) -> Column:
+    """A line without white space of any kind at its ends."""
+    return F.regexp_replace(line, f"^{WHITE_SPACE}+|{WHITE_SPACE}+$", "")
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Non-blank lines of every JSON lines file below ``path``: ``value`` and ``line_order``.
 
@@ -23,7 +30,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
     )
-    return lines.select(F.trim("value").alias("value"), order.alias(ORDER)).where("value <> ''")
+    return lines.select(strip_blanks(F.col("value")).alias("value"), order.alias(ORDER)).where("value <> ''")
 
 
 def with_parsed(lines: DataFrame, fields: str, out: str = "parsed", value: str = "value") -> DataFrame:

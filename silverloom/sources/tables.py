@@ -13,6 +13,8 @@ from silverloom.schemas import SILVER
 from silverloom.session import is_missing_path
 
 COMMIT = "commit_id"
+# Who wrote a part of a commit: a folder below it, not a column of the table.
+WRITER = "writer"
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -20,17 +22,7 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     reader = spark.read
     if schema is not None:
         reader = reader.schema(T.StructType(schema.fields + [T.StructField(COMMIT, T.LongType())]))
-    return reader.parquet(path)
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows redistributed by ``key`` when the scan yields fewer tasks than there are cores; else ``df`` itself.
-
-    A Parquet file is read by one task per row group, so a small table of one group would leave all text work to one
-    core. A large table has more pieces than cores and is not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    return reader.parquet(path).drop(WRITER)
 
 
 def load_table(spark: SparkSession, name: str, fallback: str) -> DataFrame:

@@ -16,7 +16,7 @@ from silverloom.operators.splits import inference_only
 from silverloom.schemas import GOLD, PREDICTION
 from silverloom.sinks.files import write_dead_letters
 from silverloom.sinks.tables import append_commit
-from silverloom.streaming.run import replace_batch
+from silverloom.streaming.run import batch_stamp, replace_batch, stream_id
 
 
 class Sinks(NamedTuple):
@@ -46,11 +46,13 @@ def score_requests(
 
     def encode_or_mark(df: DataFrame) -> DataFrame:
         encoded = encode(df)
+        if "encode_error" not in encoded.columns:
+            encoded = encoded.withColumn("encode_error", F.lit(None).cast("string"))
         failed = F.col("embedding").isNull() & (F.col("cleaned_text") != "")
         zero = F.array_repeat(F.lit(0.0).cast("float"), size)
         return encoded.withColumn(
-            "error", F.when(F.col("error").isNull() & failed, "encoding failed").otherwise(F.col("error"))
-        ).withColumn("embedding", F.coalesce("embedding", zero))
+            "error", F.when(F.col("error").isNull() & failed, F.coalesce("encode_error", F.lit("encoding failed"))).otherwise(F.col("error"))
+        ).withColumn("embedding", F.coalesce("embedding", zero)).drop("encode_error")
 
     requests = inference_only(requests_from_messages(messages))
     scored = predict(requests, encode_or_mark, score, size=size)
@@ -76,9 +78,11 @@ def write_batch(
     """
     started = time.monotonic()
     spark = batch.sparkSession
+    stream = stream_id(batch)
+    commit = batch_stamp(spark, sinks.staging, stream, batch_id)
     ok = F.col("error").isNull()
     scored = score_requests(batch, encode, score, size, created_at_ms)
-    staged_path = f"{sinks.staging}/batch_id={batch_id}"
+    staged_path = f"{sinks.staging}/stream={stream}/batch_id={batch_id}"
     scored.write.mode("overwrite").parquet(staged_path)
     staged = spark.read.schema(scored.schema).parquet(staged_path)
     good = staged.where(ok)
@@ -86,21 +90,22 @@ def write_batch(
     for path, text in ((sinks.bronze, "text"), (sinks.silver, "cleaned_text")):
         records = good.select("id", F.col(text).alias("text"), "label", "split", "request_id")
         lines = records.select(to_message(records).alias("value"), "split")
-        replace_batch(lines, path, batch_id, "text", "split")
+        replace_batch(lines, path, stream, batch_id, "text", "split")
 
+    writer = f"{stream}-{batch_id}"
     predictions = to_predictions(good, model_version, F.col("created_at_ms"))
-    _with_tries(lambda: append_commit(predictions, sinks.predictions, PREDICTION, batch_id))
+    _with_tries(lambda: append_commit(predictions, sinks.predictions, PREDICTION, commit, writer=writer))
 
     gold_error = None
     if sinks.gold is not None:
         try:
             gold = to_gold(good.withColumn("text", F.col("cleaned_text")))
-            append_commit(gold, sinks.gold, GOLD, batch_id)
+            append_commit(gold, sinks.gold, GOLD, commit, writer=writer)
         except Exception as error:
             gold_error = str(error).splitlines()[0]
 
     letters = staged.where(~ok).select("error", F.col("created_at_ms").alias("ts_ms"), "payload")
-    write_dead_letters(letters, f"{sinks.dead_letters}/batch_id={batch_id}", mode="overwrite")
+    write_dead_letters(letters, f"{sinks.dead_letters}/stream={stream}/batch_id={batch_id}", mode="overwrite")
 
     counts = staged.agg(F.count("*").alias("consumed"), F.count_if(ok).alias("succeeded")).first()
     return BatchReport(

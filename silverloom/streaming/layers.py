@@ -1,5 +1,6 @@
 """Topic to bronze, and bronze to silver, as streams."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -7,7 +8,8 @@ from pyspark.storagelevel import StorageLevel
 
 from silverloom.operators.dedup import TEXT_KEY, dedup_keep_first, text_key
 from silverloom.operators.messages import bronze_from_messages, silver_from_messages, to_message
-from silverloom.streaming.run import replace_batch
+from silverloom.session import is_missing_path
+from silverloom.streaming.run import replace_batch, stream_id
 
 ARRIVAL = "_arrival"
 
@@ -23,17 +25,21 @@ def bronze_stream(
 ) -> DataStreamWriter:
     """Parse, validate and route messages to ``path/split=<split>/``; invalid ones go to ``quarantine_path``.
 
+    Without ``quarantine_path`` they go to the folder ``<path>_rejected``.
+
     Metric ``bronze`` of the query counts the messages of each batch.
     """
 
+    rejected = quarantine_path or f"{path.rstrip('/')}_rejected"
+
     def process(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             good, bad = bronze_from_messages(batch, default_split)
             lines = good.select(to_message(good).alias("value"), "split")
-            replace_batch(lines, path, batch_id, "text", "split", maxRecordsPerFile=rows_per_file)
-            if quarantine_path is not None:
-                replace_batch(bad, quarantine_path, batch_id, "json")
+            stream = stream_id(batch)
+            replace_batch(lines, path, stream, batch_id, "text", "split", maxRecordsPerFile=rows_per_file)
+            replace_batch(bad, rejected, stream, batch_id, "json")
         finally:
             batch.unpersist()
 
@@ -47,24 +53,37 @@ def silver_stream(
     """Clean and deduplicate bronze lines into the Parquet folder ``path``, against itself and within each batch.
 
     The silver rows carry their ``text_key``, so each batch reads the narrow key columns of the rows before it and not
-    their texts. Rows of the same batch are never compared with: a replayed batch gives the same result.
+    their texts. Rows of the same batch are never compared with: a replayed batch gives the same result. Lines that do
+    not become silver go to the folder ``<path>_rejected``.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        good = silver_from_messages(batch).good
-        if dedup:
-            ordered = good.withColumn(ARRIVAL, F.monotonically_increasing_id())
-            good = dedup_keep_first(ordered, ARRIVAL, _earlier(batch.sparkSession, path, batch_id), keep=good.columns)
-        replace_batch(good.withColumn(TEXT_KEY, text_key(F.col("text"))), path, batch_id, "parquet")
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            stream = stream_id(batch)
+            good, bad = silver_from_messages(batch)
+            replace_batch(bad, f"{path.rstrip('/')}_rejected", stream, batch_id, "json")
+            if dedup:
+                ordered = good.withColumn(ARRIVAL, F.monotonically_increasing_id())
+                earlier = _earlier(batch.sparkSession, path, stream, batch_id)
+                good = dedup_keep_first(ordered, ARRIVAL, earlier, keep=good.columns)
+            replace_batch(good.withColumn(TEXT_KEY, text_key(F.col("text"))), path, stream, batch_id, "parquet")
+        finally:
+            batch.unpersist()
 
     return _writer(lines, process, checkpoint, name)
 
 
-def _earlier(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
-    if batch_id == 0:
-        return None
-    keys = spark.read.schema(f"{TEXT_KEY} binary, label int, split string, batch_id bigint").parquet(path)
-    return keys.where(F.col("batch_id") < batch_id).drop("batch_id")
+def _earlier(spark: SparkSession, path: str, stream: str, batch_id: int) -> DataFrame | None:
+    """Keys of what other streams and the earlier batches of this one have written."""
+    schema = f"{TEXT_KEY} binary, label int, split string, stream string, batch_id bigint"
+    try:
+        keys = spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if is_missing_path(error):
+            return None
+        raise
+    return keys.where((F.col("stream") != stream) | (F.col("batch_id") < batch_id)).drop("stream", "batch_id")
 
 
 def dedup_stream(silver: DataFrame, salts: int = 16) -> DataFrame:

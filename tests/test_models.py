@@ -50,14 +50,22 @@ def test_split_sampling_and_evaluation(spark):
     assert set(train_classifier(gold, test_split="absent").metrics) == {"train_accuracy"}
     assert set(train_classifier(gold, gold, test_split="absent").metrics) == {"train_accuracy", "test_accuracy"}
     assert set(train_classifier(gold, train_split="absent", test_split=None).metrics) == {"train_accuracy"}
-    with pytest.raises(ValueError, match="only one class"):
+    with pytest.raises(ValueError, match="nothing to tell apart"):
         train_classifier(gold.where("label = 1"))
     with pytest.raises(ValueError, match="no training rows"):
         train_classifier(gold.where("false"))
 
 
-def test_four_wide_rows(spark):
-    rows = [(str(i), [v] * 768, label, "train") for i, (v, label) in enumerate([(0.1, 0), (0.2, 0), (0.9, 1), (0.8, 1)])]
+def test_evaluation_takes_all_rows(spark):
+    """One wrong row far behind the size of the training sample counts."""
+    rows = [(str(i), [1.0 - 2 * (i % 2), 0.0], 1 - i % 2, "train" if i < 40 else "test") for i in range(160)]
+    rows[-1] = (rows[-1][0], rows[-1][1], 1, "test")
+    found = train_classifier(spark.createDataFrame(rows, GOLD_ROWS), max_records=20)
+    assert found.metrics["test_accuracy"] == pytest.approx(119 / 120)
+
+
+def test_wide_rows(spark):
+    rows = [(f"w{i}", [0.5 * i - 1.2, *[0.3] * 699], int(i > 2), "train") for i in range(6)]
     assert train_classifier(spark.createDataFrame(rows, GOLD_ROWS), test_split=None).metrics == {"train_accuracy": 1.0}
 
 
@@ -104,7 +112,8 @@ def test_projection_sample_and_new_points(spark):
     gold, _, _ = vectors(spark)
     new = gold.where("split = 'test'")
     points, _ = project_2d(gold, new.select("id", "embedding"), max_points=30)
-    assert points.where("not is_new").count() == 30 and points.where("is_new").count() == new.count()
+    known = gold.where("split = 'train'").count()
+    assert points.where("not is_new").count() == known and points.where("is_new").count() == new.count()
     assert points.where("not is_new and split <> 'train'").isEmpty()
     with pytest.raises(ValueError, match="no embeddings"):
         fit_projection(gold.where("false"))
@@ -112,7 +121,8 @@ def test_projection_sample_and_new_points(spark):
 
 def test_tokens(spark):
     df = spark.createDataFrame([("a b  c",), ("",), (" ".join(["w"] * 600),)], "text string")
-    assert [len(r[0]) for r in df.select(tokens(F.col("text"))).collect()] == [3, 0, 512]
+    assert [len(r[0]) for r in df.select(tokens(F.col("text"))).collect()] == [3, 0, 600]
+    assert [len(r[0]) for r in df.select(tokens(F.col("text"), 512)).collect()] == [3, 0, 512]
 
 
 def test_default_encoder(spark, plan):
@@ -123,8 +133,10 @@ def test_default_encoder(spark, plan):
     found = np.array([r["embedding"] for r in out.collect()])
     assert found.shape == (40, 64) and np.all(np.linalg.norm(found, axis=1) <= 1.0001)
     assert gold_from_silver(df.where("false"), encoder).count() == 0
-    long = spark.createDataFrame([("w " * 512 + "x " * 9,), ("w " * 512,)], "text string")
+    long = spark.createDataFrame([("w " * 600 + "x " * 9,), ("w " * 600,)], "text string")
     a, b = (r["embedding"] for r in encode(long, encoder).collect())
+    assert a != b
+    a, b = (r["embedding"] for r in encode(long, fit_encoder(df, size=64, max_tokens=512)).collect())
     assert a == b
     assert "Python" not in plan(encode(df, encoder)) and "Exchange" not in plan(encode(df, encoder))
 

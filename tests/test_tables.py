@@ -16,7 +16,6 @@ from silverloom.sources.tables import (
     load_table,
     lookup,
     read_table,
-    spread,
 )
 
 
@@ -89,13 +88,19 @@ def test_describe_and_csv(spark, tmp_path):
     assert sorted(read_csv(spark, str(tmp_path / "csv"), "id string, text string").collect()) == sorted(df.collect())
 
 
+def test_commits_of_one_moment_keep_all_rows(spark, tmp_path, monkeypatch):
+    from silverloom.sinks import tables
+
+    monkeypatch.setattr(tables, "now_stamp", lambda: 1_700_000_000_000)
+    target = str(tmp_path / "gold")
+    first, second = tables.append_commit(gold(spark, 1, 2), target, GOLD), tables.append_commit(gold(spark, 3, 4), target, GOLD)
+    assert first == second and read_table(spark, target, GOLD).count() == 4
+    for _ in range(2):
+        tables.append_commit(gold(spark, 5, 6), target, GOLD, first)
+    assert read_table(spark, target, GOLD).count() == 6 and list_commits(read_table(spark, target, GOLD)).first()["n_rows"] == 6
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert new_folder(spark, "x") != new_folder(spark, "x")
     assert written(spark.range(3), "kept").count() == 3
-
-
-def test_spread_only_when_there_are_too_few_tasks(spark):
-    few, many = spark.range(0, 100, 1, 1), spark.range(0, 100, 1, 16)
-    assert spread(few, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread(many, "id") is many
