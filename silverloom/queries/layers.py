@@ -12,7 +12,7 @@ from silverloom.operators.messages import (
     silver_from_messages,
     to_message,
 )
-from silverloom.plans.jobs import Places, backfill
+from silverloom.plans.jobs import Places, backfill, ingest_bronze, rejected_path
 from silverloom.plans.silver import silver_job
 from silverloom.queries.data import (
     BRONZE_ERROR_SQL,
@@ -242,6 +242,24 @@ def append_twice(spark, sf):
     return list_commits(read_table(spark, path, GOLD)).select("commit_id", "n_rows")
 
 
+def append_two_writers(spark, sf):
+    """Two writers of one commit: the rows of both stay, and writing again replaces only one's own."""
+    path = new_folder(spark, "gold_table")
+    for writer in ("a", "b", "a"):
+        append_commit(gold(spark, sf), path, GOLD, commit_id=7, writer=writer)
+    return list_commits(read_table(spark, path, GOLD)).select("commit_id", "n_rows")
+
+
+def ingest_accounts(spark, sf):
+    """Messages taken into bronze and messages rejected, as the job has written them."""
+    topic, path = new_folder(spark, "topic"), new_folder(spark, "bronze")
+    messages(spark, sf).select("value").write.text(topic)
+    ingest_bronze(spark, topic, path, "train")
+    kept = spark.read.option("recursiveFileLookup", True).text(path).agg(F.count("*").alias("n"))
+    rejected = spark.read.schema("error string").json(rejected_path(path)).agg(F.count("*").alias("n"))
+    return kept.select(F.lit("kept").alias("part"), "n").unionByName(rejected.select(F.lit("rejected").alias("part"), "n"))
+
+
 def table_row_counts(spark, sf):
     return row_counts({name: table(spark, sf, name) for name in ("documents", "labels", "embeddings", "events", "conversations")})
 
@@ -295,6 +313,8 @@ QUERIES = {
         append_common_columns,
         append_new_column,
         append_twice,
+        append_two_writers,
+        ingest_accounts,
         table_row_counts,
         csv_export,
         backfill_tables,
@@ -345,6 +365,9 @@ ORACLE = {
     "append_common_columns": f"SELECT {_SHOWN_SQL} FROM ({GOLD_SQL})",
     "append_new_column": "SELECT label AS class, count(*) AS n FROM embeddings GROUP BY label",
     "append_twice": "SELECT 7::BIGINT AS commit_id, count(*) AS n_rows FROM embeddings",
+    "append_two_writers": "SELECT 7::BIGINT AS commit_id, 2 * count(*) AS n_rows FROM embeddings",
+    "ingest_accounts": f"""SELECT CASE WHEN ({BRONZE_ERROR_SQL}) IS NULL THEN 'kept' ELSE 'rejected' END AS part, count(*) AS n
+  FROM documents GROUP BY 1""",
     "table_row_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in ("documents", "labels", "embeddings", "events", "conversations")
     ),

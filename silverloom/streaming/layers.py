@@ -90,8 +90,9 @@ def dedup_stream(silver: DataFrame, salts: int = 16) -> DataFrame:
     """Streaming deduplication that keeps every key in the state store; any one row per key survives.
 
     The first step also groups by a salt made of the id, so a text that floods the stream is thinned out by several
-    tasks before the second step sees it once per salt.
+    tasks before the second step sees it once per salt. The state is kept in RocksDB, outside the heap.
     """
+    large_state(silver.sparkSession)
     keyed = silver.withColumn(TEXT_KEY, text_key(F.col("text"))).withColumn(
         "_salt", F.pmod(F.xxhash64("id"), F.lit(salts))
     )
