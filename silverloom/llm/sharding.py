@@ -22,7 +22,7 @@ from silverloom.llm.tables import settled
 
 ROUNDS = 4
 BUCKETS = 4096
-HEAVY = 10_000
+HEAVY = 1_000
 _PART = 1 << 20
 
 

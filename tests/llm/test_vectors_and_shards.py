@@ -90,7 +90,7 @@ def check_law(rows, count):
 
 def test_shards(spark, monkeypatch):
     rows = texts() + [(1000 + i, "copy", "en", "s") for i in range(90)] + [(2000 + i, f"pair {i // 3}", "en", "s") for i in range(60)]
-    for heavy in (10_000, 5):
+    for heavy in (1_000, 5):
         monkeypatch.setattr(sharding, "HEAVY", heavy)
         found = shards_of(documents(spark, rows), 7).collect()
         check_law(found, 7)
