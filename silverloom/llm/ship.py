@@ -10,11 +10,18 @@ from pyspark.sql import SparkSession
 
 import silverloom
 
+BATCH = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Hand the package's sources (some hundred kB) to the executors, once for each application."""
+    """Hand the package's sources (some hundred kB) to the executors, once for each application.
+
+    Arrow batches of whole texts are kept to BATCH rows: a batch is held several times over by a task and its worker.
+    """
+    if not 0 < int(spark.conf.get(_BATCH)) <= BATCH:
+        spark.conf.set(_BATCH, str(BATCH))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
