@@ -7,8 +7,8 @@ prototype taken off, which holds what the languages share. A document has the la
 cosine with it.
 
 Letters are those of any script, without case; all other characters, runs of them as one, count as one blank, and a word
-begins and ends with a blank. Profiles are fitted on at most about ``MOST_PER_LANGUAGE`` labelled documents of each language,
-chosen by the hash of the row; every document is predicted, from its whole text.
+begins and ends with a blank. Profiles are fitted on about ``MOST_PER_LANGUAGE`` distinct labelled texts of each language, or all
+where there are fewer, chosen by the hash of the text; copies count once. Every document is predicted, from its whole text.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0, as is every text where nothing could be learned.
 Ties go to the first language by name. Null labels teach nothing. Rows are independent of each other; repeated rows, other
@@ -123,9 +123,10 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", dimensions: int
     """Learn prototypes from the labelled rows of ``docs``."""
     ship(docs.sparkSession)
     labelled = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
-    rates = labelled.groupBy("lang").agg((F.lit(float(most)) / F.count(F.lit(1))).alias("rate"))
+    distinct = labelled.select("lang", F.xxhash64("text", F.lit("profile")).alias("h")).distinct()
+    rates = distinct.groupBy("lang").agg((F.lit(float(most)) / F.count(F.lit(1))).alias("rate"))
     chance = F.pmod(F.xxhash64("text", F.lit("profile")), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    chosen = labelled.join(F.broadcast(rates), "lang").where(chance < F.col("rate")).select("lang", "text")
+    chosen = labelled.join(F.broadcast(rates), "lang").where(chance < F.col("rate")).select("lang", "text").distinct()
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -39,6 +39,15 @@ def test_awkward_texts(spark):
     assert {r["p"]["lang_pred"] for r in documents(spark).select(language_id.predict(F.col("text"), nothing).alias("p")).collect()} == {"und"}
 
 
+def test_copies_teach_once(spark):
+    rng = random.Random(3)
+    rows = [(i, sentence(rng, lang, 20), lang, "s") for i, lang in enumerate(["en", "es", "de"] * 30)]
+    copies = [(1000 + i, rows[0][1], "en", "s") for i in range(3000)]
+    once, often = (language_id.fit(documents(spark, r), most=200) for r in (rows, rows + copies))
+    assert once.languages == often.languages == ["de", "en", "es"]
+    assert np.allclose(once.prototypes, often.prototypes) and np.allclose(once.mean, often.mean)
+
+
 def test_vectors_are_bound_and_bundled(monkeypatch):
     """The bundle of a text is the mean of its trigrams' vectors, in whatever blocks it is made."""
     text = "Ab, abc ba"
