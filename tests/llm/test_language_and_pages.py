@@ -79,6 +79,22 @@ def test_one_page():
     assert [t for _, t in blocks] == ["Head & title", "One boldword and a break <tag> é", "Two", "Three four", "c1", "c2"]
 
 
+def test_names_that_are_topics_stay():
+    html = """<article><h2 id="related-work">Related work</h2><section id="discussion"><p>Found</p></section>
+<div id="form-of-government">Republic</div><p class="notification-letters">Letters</p><section id="social-impact"><p>Impact</p></section>
+<div class="share-buttons">Share</div><div class="lead related_posts">More</div><div id="comments">Reader</div>
+<p>Sum <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> here</p></article>"""
+    want = ["Related work", "Found", "Republic", "Letters", "Impact", "Sum x=2 here"]
+    assert [t for _, t in html_extract.article_blocks(page_text.parse(html))] == want
+
+
+def test_unclosed_elements_end_with_their_parent():
+    for tag in ("svg", "audio", "video", "object", "canvas", "template"):
+        html = f"<article><div><p>a</p><{tag} x=1><g>lost<{tag}>lost</{tag}></div><p>b <{tag}><p>lost</p></{tag}>c</p></article>"
+        assert [t for _, _, t in page_text.parse(html).blocks] == ["a", "b c"], tag
+    assert [t for _, _, t in page_text.parse("<div><p>a <math><mi>x</div><p>b").blocks] == ["a x", "b"]
+
+
 def test_broken_pages():
     for html in ("", None, "<", "a < b", "<p", "<p class='x>y</p>", "</p></div>text", "<script>never ends", "<!-- open", "&bogus; &#x110000;", "<div>" * 3000):
         page_text.parse(html)
