@@ -28,8 +28,8 @@ from silverloom.llm.ship import ship
 
 #: Characters of a text whose pieces are held at once.
 PART = 1 << 18
-#: Characters of pieces that a worker remembers.
-CACHE = 2 << 20
+#: Characters of pieces that a worker learns before it drops the older half of what it remembers.
+CACHE = 4 << 20
 
 
 @lru_cache(maxsize=1)
@@ -51,7 +51,7 @@ class Coder:
     def __init__(self, data: bytes, pattern: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         import regex
-        from tokenizers import Tokenizer, models, pre_tokenizers
+        from tokenizers import models
 
         ranks, to_char = parse_ranks(data), byte_characters()
         spelled = {token: "".join(to_char[b] for b in token) for token in ranks}
@@ -59,15 +59,17 @@ class Coder:
         for token in sorted(ranks, key=ranks.get):
             pairs = [(token[:i], token[i:]) for i in range(1, len(token)) if token[:i] in ranks and token[i:] in ranks]
             merges += [(spelled[a], spelled[b]) for a, b in sorted(pairs, key=lambda p: (ranks[p[0]], ranks[p[1]]))]
-        self.model = Tokenizer(models.BPE(vocab={spelled[t]: r for t, r in ranks.items()}, merges=merges, ignore_merges=True))
-        self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        vocab = {spelled[t]: r for t, r in ranks.items()}
+        self.model = models.BPE(vocab=vocab, merges=merges, ignore_merges=True, cache_capacity=0)
+        self.spelling = dict(enumerate(to_char))
         self.find = regex.compile(pattern).findall
         to_byte = {c: b for b, c in enumerate(to_char)}
         self.table = [b""] * (max(ranks.values()) + 1)
-        for name, i in self.model.get_vocab().items():
+        for name, i in vocab.items():
             self.table[i] = bytes(to_byte[c] for c in name)
         self.lengths = np.array([len(t) for t in self.table], np.int64)
         self.pieces: dict[str, bytes] = {}  # ids as 32-bit integers
+        self.older: dict[str, bytes] = {}
         self.held = 0
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
@@ -82,12 +84,15 @@ class Coder:
         return [np.frombuffer(b"".join(map(self.pieces.__getitem__, own)), np.int32) for own in found]
 
     def _learn(self, pieces: set[str]) -> None:
-        """Encode the pieces that are not known yet, in one call."""
+        """Encode the pieces that are not remembered. What was used lately stays; a frequent piece is never forgotten."""
         if self.held > CACHE:
-            self.pieces, self.held = {}, 0
-        new = [p for p in pieces if p not in self.pieces]
-        for piece, encoded in zip(new, self.model.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.pieces[piece] = array("i", encoded.ids).tobytes()
+            self.pieces, self.older, self.held = {}, self.pieces, 0
+        for piece in pieces.difference(self.pieces):
+            ids = self.older.get(piece)
+            if ids is None:
+                spelled = piece.encode().decode("latin-1").translate(self.spelling)
+                ids = array("i", [token.id for token in self.model.tokenize(spelled)]).tobytes()
+            self.pieces[piece] = ids
             self.held += len(piece)
 
     def decode(self, ids: list[int]) -> bytes:
