@@ -1,7 +1,7 @@
 """Reading tables: append commits, as-of reads, lookups, listings.
 
 A table is a Parquet folder (or a catalog table) partitioned by ``commit_id``. The id is an epoch-millisecond stamp, so
-it orders the commits and dates them.
+it orders the commits and dates them. Of a folder with a commit log only finished commits are read.
 """
 
 from pyspark.errors import AnalysisException
@@ -9,20 +9,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from silverloom.commits import COMMIT, WRITER, read_log, read_parts, visible
 from silverloom.schemas import SILVER
 from silverloom.session import is_missing_path
 
-COMMIT = "commit_id"
-# Who wrote a part of a commit: a folder below it, not a column of the table.
-WRITER = "writer"
 
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, as_of: int | None = None, since: int | None = None
+) -> DataFrame:
+    """The table with its ``commit_id`` column; ``schema`` (without it) saves the footer reads.
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """The table with its ``commit_id`` column; ``schema`` (without it) saves the footer reads."""
+    ``as_of`` gives the rows right after that commit, ``since`` those of this commit and later ones (commits that were
+    compacted together count as the last of them). Other parts are not even listed.
+    """
     reader = spark.read
     if schema is not None:
         reader = reader.schema(T.StructType(schema.fields + [T.StructField(COMMIT, T.LongType())]))
-    return reader.parquet(path).drop(WRITER)
+    entries = read_log(spark, path)
+    if entries is None:  # a folder without a log: what it holds
+        rows = reader.parquet(path).drop(WRITER)
+        bounds = [F.col(COMMIT) <= as_of] * (as_of is not None) + [F.col(COMMIT) >= since] * (since is not None)
+        return rows.where(bounds[0] if len(bounds) == 1 else bounds[0] & bounds[1]) if bounds else rows
+    if as_of is not None and entries and entries[0].kind == "fold" and as_of < entries[0].commit_id:
+        raise ValueError(f"commits before {entries[0].commit_id} have been folded: no read as of {as_of}")
+    parts = visible(entries, as_of, since)
+    if parts:
+        return read_parts(spark, path, parts, reader)
+    known = visible(entries)
+    if schema is None and known:
+        return read_parts(spark, path, known[:1], reader).limit(0)
+    if schema is None:
+        raise ValueError(f"{path} has no commit yet: give its schema")
+    return spark.createDataFrame([], T.StructType(schema.fields + [T.StructField(COMMIT, T.LongType())]))
 
 
 def load_table(spark: SparkSession, name: str, fallback: str) -> DataFrame:

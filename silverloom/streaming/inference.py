@@ -4,10 +4,11 @@ import time
 from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from silverloom.commits import child_names, remove_path
 from silverloom.constants import DEFAULT_MODEL_VERSION, INFERENCE_SPLIT, VECTOR_SIZE
 from silverloom.models.encode import to_gold
 from silverloom.operators.messages import requests_from_messages, to_message
@@ -15,9 +16,13 @@ from silverloom.operators.predict import Step, now_ms, predict, to_predictions
 from silverloom.operators.splits import inference_only
 from silverloom.schemas import GOLD, PREDICTION
 from silverloom.sinks.files import write_dead_letters
-from silverloom.sinks.tables import append_commit
+from silverloom.sinks.tables import append_commit, compact
 from silverloom.streaming.run import batch_stamp, replace_batch, stream_id
 
+#: Batches between two compactions of the tables a stream appends to, and the column their rows are looked up by.
+COMPACT_EVERY = 50
+LOOKED_UP = ["request_id"]
+
 
 class Sinks(NamedTuple):
     """Folders; all but ``staging`` and ``gold`` are always written. Set ``gold`` to None to leave it out."""
@@ -69,12 +74,16 @@ def write_batch(
     size: int = VECTOR_SIZE,
     model_version: str = DEFAULT_MODEL_VERSION,
     created_at_ms: Column | None = None,
+    compact_every: int = COMPACT_EVERY,
 ) -> BatchReport:
     """Score one micro-batch and write it everywhere, in order: bronze, silver, predictions, gold, dead letters.
 
     The scored rows are written to the staging folder first and every sink reads them from there, so all sinks see the
     same generated ids even when executors are lost in between. Each sink replaces its own part for this batch, which
     makes a replay harmless. Gold is best effort; its failure is reported and does not stop the predictions.
+
+    Every ``compact_every`` batches the small commits of predictions and gold are put together (0: never). What earlier
+    batches of this stream have staged is removed: a stream only ever replays its last batch.
     """
     started = time.monotonic()
     spark = batch.sparkSession
@@ -94,7 +103,7 @@ def write_batch(
 
     writer = f"{stream}-{batch_id}"
     predictions = to_predictions(good, model_version, F.col("created_at_ms"))
-    _with_tries(lambda: append_commit(predictions, sinks.predictions, PREDICTION, commit, writer=writer))
+    _with_tries(lambda: append_commit(predictions, sinks.predictions, PREDICTION, commit, writer=writer, keys=LOOKED_UP))
 
     gold_error = None
     if sinks.gold is not None:
@@ -107,6 +116,12 @@ def write_batch(
     letters = staged.where(~ok).select("error", F.col("created_at_ms").alias("ts_ms"), "payload")
     write_dead_letters(letters, f"{sinks.dead_letters}/stream={stream}/batch_id={batch_id}", mode="overwrite")
 
+    if compact_every and (batch_id + 1) % compact_every == 0:
+        compact(spark, sinks.predictions, before=commit, keys=LOOKED_UP)
+        if sinks.gold is not None:
+            compact(spark, sinks.gold, before=commit)
+    _tidy(spark, sinks.staging, stream, batch_id)
+
     counts = staged.agg(F.count("*").alias("consumed"), F.count_if(ok).alias("succeeded")).first()
     return BatchReport(
         batch_id,
@@ -118,6 +133,15 @@ def write_batch(
     )
 
 
+def _tidy(spark: SparkSession, staging: str, stream: str, batch_id: int) -> None:
+    """Remove staged rows and stamps of batches that cannot be replayed any more."""
+    for folder in (f"{staging}/stream={stream}", f"{staging}/stamps/stream={stream}"):
+        for name in child_names(spark, folder):
+            number = name.removeprefix("batch_id=")
+            if number.isdigit() and int(number) < batch_id:
+                remove_path(spark, f"{folder}/{name}")
+
+
 def _with_tries(write: Callable[[], object], tries: int = 3, wait: float = 2.0) -> None:
     for attempt in range(tries):
         try:
@@ -138,11 +162,12 @@ def inference_stream(
     size: int = VECTOR_SIZE,
     model_version: str = DEFAULT_MODEL_VERSION,
     on_batch: Callable[[BatchReport], None] | None = None,
+    compact_every: int = COMPACT_EVERY,
 ) -> DataStreamWriter:
     """The streaming query; ``on_batch`` receives the counts and the duration of each batch."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        report = write_batch(batch, batch_id, encode, score, sinks, size, model_version)
+        report = write_batch(batch, batch_id, encode, score, sinks, size, model_version, compact_every=compact_every)
         if on_batch is not None:
             on_batch(report)
 
