@@ -30,7 +30,8 @@ def dedup_keys(df: DataFrame) -> DataFrame:
     A ``text_key`` column, when ``df`` stores one, is used instead of hashing the texts again, so only narrow columns
     are read.
     """
-    return with_key(df).select(*KEY).distinct()
+    keyed = df if set(KEY) <= set(df.columns) else with_key(df)
+    return keyed.select(*KEY).distinct()
 
 
 def dedup_keep_first(

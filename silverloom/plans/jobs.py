@@ -15,6 +15,7 @@ from silverloom.operators.dedup import KEY as DEDUP_KEY
 from silverloom.operators.dedup import dedup_keys, with_key as with_dedup_key
 from silverloom.operators.messages import bronze_from_messages
 from silverloom.operators.sampling import first_rows
+from silverloom.operators.seen import SeenKeys
 from silverloom.plans.silver import silver_job
 from silverloom.schemas import GOLD, REVIEW
 from silverloom.session import written
@@ -56,29 +57,48 @@ def rejected_path(path: str) -> str:
     return f"{path.rstrip('/')}_rejected"
 
 
+def reject(rows: DataFrame, path: str, run: str) -> None:
+    """Keep what a layer could not take, as one part for each ``run``: a run that is taken up again replaces its own part."""
+    marked = rows.withColumn("run", F.lit(run))
+    out = marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run")
+    out.json(rejected_path(path))
+
+
 def ingest_bronze(
-    spark: SparkSession, topic: str, path: str, default_split: str, limit: int | None = None, servers: str | None = None
+    spark: SparkSession,
+    topic: str,
+    path: str,
+    default_split: str,
+    limit: int | None = None,
+    servers: str | None = None,
+    mode: str = "append",
 ) -> None:
     """Read a topic from its beginning and write its valid messages to bronze: the first ``limit`` ones, if given.
 
     Messages that are not valid go to ``rejected_path(path)`` with the reason.
     """
     good, bad = bronze_from_messages(topic_batch(spark, topic, servers), default_split)
-    bad.write.mode("append").json(rejected_path(path))
+    reject(bad, path, default_split)
     if limit is not None:
         good = first_rows(good.withColumn("_arrival", F.monotonically_increasing_id()), limit, "_arrival")
-    write_layer(good, path)
+    write_layer(good, path, mode=mode)
 
 
 def build_silver(spark: SparkSession, bronze_path: str, silver_path: str, split: str) -> DataFrame:
     """One split of bronze to silver, without what silver holds already; returns the written silver of the split.
 
-    Lines that do not become silver go to ``rejected_path(silver_path)``.
+    The keys of silver are indexed beside it, so a small increment reads little of what is known. Lines that do not become
+    silver go to ``rejected_path(silver_path)``.
     """
     bronze = read_lines(spark, f"{bronze_path}/split={split}")
-    result = silver_job(bronze, existing=read_silver(spark, silver_path, split))
-    result.quarantine.write.mode("append").json(rejected_path(silver_path))
-    write_silver(result.silver, silver_path)
+    stored = read_silver(spark, silver_path)
+    seen = SeenKeys(spark, f"{silver_path.rstrip('/')}_keys")
+    seen.cover(stored)
+    result = silver_job(bronze, existing=seen)
+    reject(result.quarantine, silver_path, split)
+    new = written(result.silver, "new_silver")
+    write_silver(new, silver_path)
+    seen.add(new)
     return read_silver(spark, silver_path, split).select(*REVIEW.fieldNames())
 
 

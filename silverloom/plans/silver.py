@@ -5,8 +5,9 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 
-from silverloom.operators.dedup import dedup_counts, dedup_keep_first
+from silverloom.operators.dedup import dedup_counts, dedup_keep_first, with_key
 from silverloom.operators.messages import FIELDS, silver_from_bronze, silver_from_messages
+from silverloom.operators.seen import SeenKeys
 from silverloom.sources.jsonl import ORDER
 
 
@@ -22,14 +23,16 @@ def silver_job(
     bronze: DataFrame,
     order: str | Sequence[str] = ORDER,
     dedup: bool = True,
-    existing: DataFrame | None = None,
+    existing: DataFrame | SeenKeys | None = None,
 ) -> SilverResult:
     """Validate, clean and deduplicate.
 
-    ``bronze`` holds bronze columns, or JSON lines in ``value``. ``existing`` is the silver written so far: its keys are
-    not written again. Without ``dedup`` every valid record is kept.
+    ``bronze`` holds bronze columns, or JSON lines in ``value``. ``existing`` is the silver written so far, or the
+    index of its keys, of which only the buckets that the new rows fall into are read: its keys are not written again. Without ``dedup`` every valid record is kept.
     """
     checked = silver_from_messages(bronze) if "value" in bronze.columns else silver_from_bronze(bronze)
+    if isinstance(existing, SeenKeys):
+        existing = existing.near(with_key(checked.good))
     counts = dedup_counts(checked.good, existing)
     if dedup:
         silver = dedup_keep_first(checked.good, order, existing, keep=FIELDS)

@@ -12,12 +12,15 @@ from silverloom.operators.messages import (
     silver_from_messages,
     to_message,
 )
-from silverloom.plans.jobs import Places, backfill, ingest_bronze, rejected_path
+from silverloom.operators.seen import SeenKeys
+from silverloom.plans.jobs import Places, backfill, build_silver, ingest_bronze, rejected_path
 from silverloom.plans.silver import silver_job
 from silverloom.queries.data import (
     BRONZE_ERROR_SQL,
     BRONZE_LABEL_SQL,
+    EMPTY_OBJECT,
     GOLD_SQL,
+    N_CASES,
     REVIEWS_ALL_SQL,
     REVIEWS_SQL,
     SILVER_ERROR_SQL,
@@ -117,6 +120,30 @@ def silver_incremental(spark, sf):
     return silver_job(second, order="doc_id", existing=first).silver.drop("request_id")
 
 
+def silver_by_index(spark, sf):
+    """The same increment against the index of the first batch's keys, of which only its own buckets are read."""
+    first, second = _two_batches(spark, sf)
+    seen = SeenKeys(spark, new_folder(spark, "keys"))
+    seen.add(first)
+    return silver_job(second, order="doc_id", existing=seen).silver.drop("request_id")
+
+
+def backfill_resumed(spark, sf):
+    """Bronze and silver built three times over: what was taken and what was rejected stand there once."""
+    topic, bronze, target = (new_folder(spark, n) for n in ("topic", "bronze", "silver"))
+    messages(spark, sf).select("value").write.text(topic)
+    for _ in range(3):
+        ingest_bronze(spark, topic, bronze, "train", mode="overwrite")
+        build_silver(spark, bronze, target, "train")
+    good = spark.read.option("recursiveFileLookup", True).text(bronze).agg(F.count("*").alias("n"))
+    bad = spark.read.schema("error string").json(rejected_path(bronze)).agg(F.count("*").alias("n"))
+    silver = read_silver(spark, target).agg(F.count("*").alias("n"))
+    unfit = spark.read.schema("error string").json(rejected_path(target)).agg(F.count("*").alias("n"))
+    named = zip(("bronze", "bronze_rejected", "silver", "silver_rejected"), (good, bad, silver, unfit), strict=True)
+    counts = [c.select(F.lit(n).alias("layer"), "n") for n, c in named]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
+
+
 def silver_incremental_counts(spark, sf):
     first, second = _two_batches(spark, sf)
     return silver_job(second, order="doc_id", existing=first).counts
@@ -298,6 +325,8 @@ QUERIES = {
         silver_no_dedup,
         silver_dedup_counts,
         silver_incremental,
+        silver_by_index,
+        backfill_resumed,
         silver_incremental_counts,
         message_json,
         request_messages,
@@ -346,6 +375,14 @@ ORACLE = {
     "silver_dedup_counts": f"""SELECT count(*) AS n_valid, count(DISTINCT (text, label, split)) AS n_kept,
   count(*) - count(DISTINCT (text, label, split)) AS n_skipped FROM ({_SILVER_ALL})""",
     "silver_incremental": f"{_INCREMENT} SELECT id, text, label, split FROM s WHERE {_NEW} QUALIFY {_FIRST}",
+    "silver_by_index": f"{_INCREMENT} SELECT id, text, label, split FROM s WHERE {_NEW} QUALIFY {_FIRST}",
+    "backfill_resumed": f"""WITH b AS (SELECT ({BRONZE_LABEL_SQL}) AS label, {clean_sql('text')} AS text,
+    CASE WHEN doc_id % {N_CASES} = {EMPTY_OBJECT} THEN '' ELSE text END AS raw,
+    CASE WHEN doc_id % {N_CASES} = {EMPTY_OBJECT} THEN 'train' ELSE {split_sql('doc_id')} END AS split,
+    doc_id % {N_CASES} = {EMPTY_OBJECT} AS bare FROM documents)
+  SELECT 'bronze' AS layer, count(label) AS n FROM b UNION ALL SELECT 'bronze_rejected', count(*) - count(label) FROM b
+  UNION ALL SELECT 'silver', count(DISTINCT (CASE WHEN bare THEN '' ELSE text END, label)) FROM b WHERE label IN (0, 1) AND split = 'train'
+  UNION ALL SELECT 'silver_rejected', count(*) FROM b WHERE label NOT IN (0, 1) AND split = 'train'""",
     "silver_incremental_counts": f"""{_INCREMENT} SELECT (SELECT count(*) FROM s WHERE labelled) AS n_valid, count(DISTINCT (text, label, split)) AS n_kept,
   (SELECT count(*) FROM s WHERE labelled) - count(DISTINCT (text, label, split)) AS n_skipped FROM s WHERE {_NEW}""",
     "message_json": f"SELECT id, text, label, split, 0 AS mentions FROM ({REVIEWS_ALL_SQL})",

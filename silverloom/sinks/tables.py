@@ -49,6 +49,7 @@ def append_commit(
     max_rows_per_file: int = 0,
     writer: str | None = None,
     keys: Sequence[str] = (),
+    partition_by: Sequence[str] = (),
 ) -> int:
     """Add the rows of ``df`` to the Parquet table at path ``target`` as one commit; returns the commit id.
 
@@ -59,6 +60,7 @@ def append_commit(
     complete, and writing it again changes nothing.
 
     ``keys`` are columns that rows are looked up by: files get a Bloom filter for each, and a lookup opens few of them.
+    ``partition_by`` divides each part into folders, which reads prune.
     """
     spark, target = df.sparkSession, target.rstrip("/")
     fresh = commit_id is None
@@ -68,7 +70,7 @@ def append_commit(
     commit = now_stamp() if fresh else commit_id
     folder = f"{WRITER}={own}-{uuid.uuid4().hex[:12]}"
     before = adopted(spark, target) if read_log(spark, target) is None else []
-    n_rows = _write(rows, f"{target}/{COMMIT}={commit}/{folder}", max_rows_per_file, keys)
+    n_rows = _write(rows, f"{target}/{COMMIT}={commit}/{folder}", max_rows_per_file, keys, partition_by)
     placed, void = [commit], [False]
 
     def entry(entries: list[Entry]) -> tuple[str, list[Part], list[str]]:
@@ -91,7 +93,9 @@ def append_commit(
     return placed[0]
 
 
-def _write(rows: DataFrame, path: str, max_rows_per_file: int = 0, keys: Sequence[str] = ()) -> int:
+def _write(
+    rows: DataFrame, path: str, max_rows_per_file: int = 0, keys: Sequence[str] = (), partition_by: Sequence[str] = ()
+) -> int:
     """Write a part; returns its rows, as the footers of its files tell them.
 
     (An observation would count on the way, but a session that has one cannot serialise fitted models any more.)
@@ -102,6 +106,8 @@ def _write(rows: DataFrame, path: str, max_rows_per_file: int = 0, keys: Sequenc
         out = out.option("parquet.bloom.filter.adaptive.enabled", "true")
     if max_rows_per_file:
         out = out.option("maxRecordsPerFile", max_rows_per_file)
+    if partition_by:  # one file for each folder
+        out = rows.repartition(*partition_by).write.option("compression", "snappy").partitionBy(*partition_by)
     out.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path).count()
 
@@ -121,6 +127,7 @@ def compact(
     at_least: int = 8,
     before: int | None = None,
     keys: Sequence[str] = (),
+    partition_by: Sequence[str] = (),
 ) -> int:
     """Put parts of fewer than ``small_rows`` rows into one, when there are ``at_least`` so many; returns how many.
 
@@ -139,8 +146,10 @@ def compact(
     part = f"{COMMIT}={last}/{WRITER}={own}"
     total = sum(p.n_rows for p in small)
     files = max(1, -(-total // small_rows))
-    spread = rows.repartitionByRange(files, *keys).sortWithinPartitions(*keys) if keys else rows.repartition(files)
-    n_rows = _write(spread, f"{target}/{part}", 0, keys)
+    spread = rows if partition_by else rows.repartition(files)
+    if keys:
+        spread = rows.repartitionByRange(files, *keys).sortWithinPartitions(*keys)
+    n_rows = _write(spread, f"{target}/{part}", 0, keys, partition_by)
     replaced = [p.part for p in small]
     done = []
 

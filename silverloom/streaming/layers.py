@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.storagelevel import StorageLevel
 
-from silverloom.operators.dedup import TEXT_KEY, dedup_keep_first, text_key
+from silverloom.commits import path_exists
+from silverloom.operators.dedup import TEXT_KEY, dedup_keep_first, text_key, with_key
 from silverloom.operators.messages import bronze_from_messages, silver_from_messages, to_message
+from silverloom.operators.seen import SeenKeys
 from silverloom.session import is_missing_path
-from silverloom.streaming.run import replace_batch, stream_id
+from silverloom.streaming.run import batch_stamp, replace_batch, stream_id
 
 ARRIVAL = "_arrival"
 
@@ -52,10 +54,12 @@ def silver_stream(
 ) -> DataStreamWriter:
     """Clean and deduplicate bronze lines into the Parquet folder ``path``, against itself and within each batch.
 
-    The silver rows carry their ``text_key``, so each batch reads the narrow key columns of the rows before it and not
-    their texts. Rows of the same batch are never compared with: a replayed batch gives the same result. Lines that do
-    not become silver go to the folder ``<path>_rejected``.
+    The keys of what has been written are indexed in the folder ``<path>_keys``; a batch reads only the buckets its own keys
+    fall into. Rows of the same batch are never compared with: a replayed batch gives the same result. Lines that do not
+    become silver go to the folder ``<path>_rejected``.
     """
+    base = path.rstrip("/")
+    covered: list[str] = []  # once in each run the index is compared with the layer
 
     def process(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -65,9 +69,18 @@ def silver_stream(
             replace_batch(bad, f"{path.rstrip('/')}_rejected", stream, batch_id, "json")
             if dedup:
                 ordered = good.withColumn(ARRIVAL, F.monotonically_increasing_id())
-                earlier = _earlier(batch.sparkSession, path, stream, batch_id)
+                seen, writer = SeenKeys(batch.sparkSession, f"{base}_keys"), f"{stream}-{batch_id}"
+                if not covered:
+                    seen.cover(_earlier(batch.sparkSession, path, stream, batch_id), writer)
+                    covered.append(writer)
+                earlier = seen.near(with_key(good), writer)
                 good = dedup_keep_first(ordered, ARRIVAL, earlier, keep=good.columns)
             replace_batch(good.withColumn(TEXT_KEY, text_key(F.col("text"))), path, stream, batch_id, "parquet")
+            if dedup:
+                written = f"{base}/stream={stream}/batch_id={batch_id}"
+                if path_exists(batch.sparkSession, written):
+                    rows = batch.sparkSession.read.schema(f"{TEXT_KEY} binary, label int, split string").parquet(written)
+                    seen.add(rows, batch_stamp(batch.sparkSession, f"{base}_keys/_runs", stream, batch_id), writer)
         finally:
             batch.unpersist()
 
