@@ -108,6 +108,41 @@ def train_classifier(
     return Trained(model, metrics, history)
 
 
+def optimality(df: DataFrame, model: PipelineModel, embedding: str = "embedding", label: str = "label") -> DataFrame:
+    """How near a fitted regression is to the optimum on its own training rows, as one row that every engine can recompute.
+
+    The penalised loss is convex, so its gradient vanishes at the optimum and nowhere else: ``gradient`` is the largest of
+    its components for the mean loss, ``n_rows`` and ``n_features`` say over what, ``loss`` is the penalised mean loss and
+    ``accuracy`` is counted anew from the weights. One aggregation over (row, component), summed in each task first.
+    """
+    fitted = model.stages[-1]
+    weights, intercept = fitted.coefficients.toArray(), float(fitted.intercept)
+    spark = df.sparkSession
+    w = spark.createDataFrame([(i, float(x)) for i, x in enumerate(weights)], "i int, w double")
+    rows = df.select(F.monotonically_increasing_id().alias("row"), F.col(embedding).alias("x"), F.col(label).cast("double").alias("y"))
+    linear = F.lit(intercept) + F.aggregate(
+        F.zip_with("x", F.array(*[F.lit(float(x)) for x in weights]), lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, t: s + t
+    )
+    scored = rows.withColumn("z", linear).withColumn("p", 1 / (1 + F.exp(-F.col("z")))).withColumn("d", F.col("p") - F.col("y"))
+    loss = F.greatest("z", F.lit(0.0)) - F.col("z") * F.col("y") + F.log1p(F.exp(-F.abs("z")))
+    right = (F.col("p") >= 0.5).cast("double") == F.col("y")
+    whole = scored.agg(
+        F.count("*").alias("n_rows"), F.sum("d").alias("g0"), F.sum(loss).alias("sum_loss"), F.avg(right.cast("double")).alias("accuracy")
+    )
+    parts = scored.select("d", F.posexplode("x").alias("i", "v")).groupBy("i").agg(F.sum(F.col("d") * F.col("v")).alias("g"))
+    slopes = parts.join(w, "i").select(F.abs(F.col("g") + F.col("w")).alias("g"))  # the penalty is 1/2 |w|^2 to the summed loss
+    most = slopes.agg(F.max("g").alias("g"), F.count("*").alias("n_features"))
+    penalty = float(weights @ weights) / 2
+    n = F.col("n_rows")
+    return whole.select(
+        "n_rows",
+        most.select("n_features").scalar().alias("n_features"),
+        (F.greatest(F.abs("g0"), most.select("g").scalar()) / n).alias("gradient"),
+        ((F.col("sum_loss") + penalty) / n).alias("loss"),
+        "accuracy",
+    )
+
+
 def train_text_model(
     train: DataFrame,
     test: DataFrame | None = None,

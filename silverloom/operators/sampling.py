@@ -14,6 +14,8 @@ from silverloom.constants import SEED
 
 # Keys, not rows, that may be sorted by one task.
 EDGE_KEYS = 65_536
+# Values of a class column: one row each comes to the driver and goes to every task.
+MOST_CLASSES = 10_000
 # One level of buckets: characters of the hash; quantile ranges of a numeric order, and parts of each range.
 _PREFIX = 4
 _RANGES = 256
@@ -42,6 +44,46 @@ def sample_exact(df: DataFrame, n: int | None, key: str | Sequence[str], seed: i
     return _lowest_hashes(df, n, shuffle_key(key, seed))
 
 
+def sample_balanced(df: DataFrame, n: int, key: str | Sequence[str], by: str, seed: int = SEED) -> DataFrame:
+    """``n`` rows without replacement, split evenly between the values of ``by`` (null is one), at least one of each.
+
+    A class that has fewer rows than its share gives all of them, and the others share what is left; of classes with equal
+    claims the first ones take the odd rows. Each class keeps the rows that come first in the seeded shuffle: one pass counts
+    rows per class and bucket of the shuffle, which tells each class in which bucket it ends; only that bucket is ranked.
+    There may be MOST_CLASSES classes.
+    """
+    columns = df.columns
+    rows = df.select("*", F.col(by).alias("_class"), shuffle_key(key, seed).alias("_order"))
+    rows = rows.withColumn("_bucket", F.substring("_order", 1, _PREFIX))
+    counts = rows.groupBy("_class", "_bucket").agg(F.count("*").alias("n"))
+    sizes = counts.groupBy("_class").agg(F.sum("n").alias("n")).limit(MOST_CLASSES + 1).collect()
+    if len(sizes) > MOST_CLASSES:
+        raise ValueError(f"{by} has more than {MOST_CLASSES} values: not a class")
+    taken = _shares({r["_class"]: r["n"] for r in sizes}, n)
+    kind = next(f.dataType for f in df.schema.fields if f.name == by).simpleString()
+    shares = df.sparkSession.createDataFrame(list(taken.items()), f"_of {kind}, _share long")
+    running = F.sum("n").over(Window.partitionBy("_class").orderBy("_bucket"))
+    steps = counts.select("_class", "_bucket", (running - F.col("n")).alias("_before"), running.alias("_upto"))
+    steps = steps.join(F.broadcast(shares), F.col("_class").eqNullSafe(F.col("_of")))
+    ends = steps.where("_before < _share and _upto >= _share").select(
+        "_of", F.col("_bucket").alias("_end"), (F.col("_share") - F.col("_before")).alias("_rest")
+    )
+    placed = rows.join(F.broadcast(ends), F.col("_class").eqNullSafe(F.col("_of")))
+    rank = F.row_number().over(Window.partitionBy("_class").orderBy("_order"))
+    last = placed.where("_bucket = _end").withColumn("_rank", rank).where("_rank <= _rest")
+    return placed.where("_bucket < _end").select(*columns).unionByName(last.select(*columns))
+
+
+def _shares(sizes: dict, n: int) -> dict:
+    """Rows that each class gives: the smallest classes first, so that what they lack goes to the others."""
+    out, left = {}, n
+    order = sorted(sizes, key=lambda c: (sizes[c], c is not None, str(c)))
+    for i, c in enumerate(order):
+        out[c] = max(1, min(sizes[c], -(-left // (len(order) - i))))
+        left = max(0, left - out[c])
+    return out
+
+
 def _lowest_hashes(df: DataFrame, n: int, order: Column) -> DataFrame:
     return _lowest(df, n, order, lambda rows, level: F.substring(order, 1, _PREFIX * level))
 

@@ -14,7 +14,7 @@ from silverloom.models.store import model_exists, save_model
 from silverloom.operators.dedup import KEY as DEDUP_KEY
 from silverloom.operators.dedup import dedup_keys, with_key as with_dedup_key
 from silverloom.operators.messages import bronze_from_messages
-from silverloom.operators.sampling import first_rows
+from silverloom.operators.sampling import first_rows, sample_balanced
 from silverloom.operators.seen import SeenKeys
 from silverloom.plans.silver import silver_job
 from silverloom.schemas import GOLD, REVIEW
@@ -24,7 +24,7 @@ from silverloom.sinks.tables import append_table
 from silverloom.sources.jsonl import read_lines
 from silverloom.sources.reviews import load_reviews
 from silverloom.sources.tables import load_table, read_silver
-from silverloom.sources.topic import topic_batch
+from silverloom.sources.topic import topic_snapshot
 
 
 class Places(NamedTuple):
@@ -75,12 +75,14 @@ def ingest_bronze(
 ) -> None:
     """Read a topic from its beginning and write its valid messages to bronze: the first ``limit`` ones, if given.
 
-    Messages that are not valid go to ``rejected_path(path)`` with the reason.
+    The topic is read once: messages that arrive meanwhile are left for the next run. Messages that are not valid go to
+    ``rejected_path(path)`` with the reason.
     """
-    good, bad = bronze_from_messages(topic_batch(spark, topic, servers), default_split)
+    arrived = topic_snapshot(spark, topic, servers, ordered=limit is not None)
+    good, bad = bronze_from_messages(arrived, default_split)
     reject(bad, path, default_split)
     if limit is not None:
-        good = first_rows(good.withColumn("_arrival", F.monotonically_increasing_id()), limit, "_arrival")
+        good = first_rows(good, limit, "arrival")
     write_layer(good, path, mode=mode)
 
 
@@ -126,13 +128,14 @@ def backfill(
     size: int = 1 << 12,
     max_records: int | None = MAX_TRAIN_ROWS,
     seed: int = SEED,
+    balanced: bool = False,
 ) -> Trained | None:
     """Everything from raw rows to a saved classifier; None when a former run has saved it.
 
     A run that failed is taken up again: layers that are whole stay, and silver and gold take only what they lack.
 
     ``datasets`` maps a split to raw rows with ``text``, ``label`` and ``key``; it must hold ``train``. Each layer is
-    written before the next one reads it. With ``test_split=None`` only the training split is built and nothing is
+    written before the next one reads it. With ``balanced``, ``limit`` rows of each split are split evenly between the labels. With ``test_split=None`` only the training split is built and nothing is
     evaluated.
     """
     splits = ["train"] + ([test_split] if test_split else [])
@@ -140,6 +143,8 @@ def backfill(
         return None
     topic, bronze, silver_path = (f"{places.root}/{layer}" for layer in ("topic", "bronze", "silver"))
     if not _is_there(spark, f"{bronze}/_SUCCESS"):  # the topic and bronze are built anew until bronze is whole
+        if balanced and limit:
+            datasets = {s: sample_balanced(datasets[s], limit, key, "label", seed) for s in splits}
         for i, split in enumerate(splits):
             publish(load_reviews(datasets[split], split, key, limit, seed=seed), topic, mode="append" if i else "overwrite")
         ingest_bronze(spark, topic, bronze, default_split="train")

@@ -14,12 +14,13 @@ from silverloom.operators.predict import (
     to_predictions,
     to_responses,
 )
-from silverloom.operators.sampling import first_rows, latest_per_request, sample_exact, tail, with_position
+from silverloom.operators.sampling import first_rows, latest_per_request, sample_balanced, sample_exact, tail, with_position
 from silverloom.operators.splits import inference_only, split_filter, split_filter_or_all
 from silverloom.operators.trace import request_trace
 from silverloom.queries.data import (
     GOLD_SQL,
     PREDICTIONS_SQL,
+    REVIEWS_SQL,
     SIZE_INTERCEPT,
     SIZE_WEIGHTS,
     TURNS_SQL,
@@ -27,6 +28,7 @@ from silverloom.queries.data import (
     clean_sql,
     gold,
     predictions,
+    reviews,
     size_score_sql,
     size_vector,
     table,
@@ -78,6 +80,18 @@ def sample_rows(spark, sf):
     return sample_exact(table(spark, sf, "documents"), 500, "doc_id").select("doc_id", "lang", "text")
 
 
+def one_split_halves(spark, sf):
+    """Sixty labelled documents, as many of each label."""
+    rows = reviews(spark, sf).select("doc_id", "label")
+    return sample_balanced(rows, 60, "doc_id", "label")
+
+
+def language_shares(spark, sf):
+    """Forty documents, split evenly between languages (null is one); rare ones would give all they have."""
+    docs = table(spark, sf, "documents").select("doc_id", "lang")
+    return sample_balanced(docs, 40, "doc_id", "lang").groupBy("lang").agg(F.count("*").alias("n"), F.max("doc_id").alias("last"))
+
+
 def sample_not_needed(spark, sf):
     """A sample larger than the table is the table."""
     return sample_exact(table(spark, sf, "embeddings"), 10**12, "vec_id").select("vec_id", "label")
@@ -232,6 +246,8 @@ QUERIES = {
         inference_gate,
         sample_rows,
         sample_not_needed,
+        one_split_halves,
+        language_shares,
         shuffle_positions,
         order_positions,
         first_documents,
@@ -291,6 +307,12 @@ ORACLE = {
     "inference_gate": """SELECT CASE WHEN lang = 'en' THEN 'absent' ELSE 'inference' END AS split, count(*) AS n FROM documents
   WHERE lang IN ('en', 'fr') GROUP BY 1""",
     "sample_rows": "SELECT doc_id, lang, text FROM documents ORDER BY md5('42:' || doc_id::VARCHAR) LIMIT 500",
+    "one_split_halves": f"""SELECT doc_id, label FROM ({REVIEWS_SQL})
+  QUALIFY row_number() OVER (PARTITION BY label ORDER BY md5('42:' || doc_id::VARCHAR)) <= 30""",
+    "language_shares": """WITH s AS (SELECT lang, count(*) AS size, row_number() OVER (ORDER BY count(*), lang NULLS FIRST) - 1 AS i,
+    count(*) OVER () AS c FROM documents GROUP BY lang), d AS (SELECT doc_id, lang, row_number() OVER (
+    PARTITION BY lang ORDER BY md5('42:' || doc_id::VARCHAR)) AS r FROM documents)
+  SELECT lang, count(*) AS n, max(doc_id) AS last FROM d JOIN s USING (lang) WHERE r <= 40 // c + (i < 40 % c)::INTEGER GROUP BY lang""",
     "sample_not_needed": "SELECT vec_id, label FROM embeddings",
     "shuffle_positions": "SELECT doc_id, lang, row_number() OVER (ORDER BY md5('42:' || doc_id::VARCHAR)) - 1 AS position FROM documents",
     "order_positions": "SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) - 1 AS position FROM documents",

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from silverloom.models.classifier import encoder_of, score, score_text, train_classifier, train_text_model
+from silverloom.models.classifier import encoder_of, optimality, score, score_text, train_classifier, train_text_model
 from silverloom.models.encode import encode, fit_encoder, gold_from_silver, to_gold
 from silverloom.models.project import export_points, project_2d
 from silverloom.models.store import load_model, save_model
@@ -52,6 +52,28 @@ def train_lr_accuracy(spark, sf):
     )
 
 
+def _certified(found, size):
+    """The certificate of a fit: its rows, components, and whether the gradient vanishes there."""
+    return found.select("n_rows", F.col("n_features").cast("long").alias("n_features"), (F.col("gradient") < 1e-6).alias("at_optimum"),
+                        F.col("accuracy").between(0.5, 1).alias("better_than_chance"), F.lit(size).cast("long").alias("size"))
+
+
+def train_lr_optimal(spark, sf):
+    """The classifier of the vectors is at the optimum of its penalised loss, over all training rows."""
+    rows = gold(spark, sf).where("split = 'train'")
+    trained = train_classifier(rows, test_split=None, max_records=None)
+    return _certified(optimality(rows, trained.model), 64)
+
+
+def train_text_optimal(spark, sf):
+    """So is the text model, over the vectors of its own encoder; its accuracy is the one counted anew."""
+    rows = _silver(spark, sf).where("split = 'train'")
+    trained = train_text_model(rows, size=256)
+    vectors = written(gold_from_silver(rows, encoder_of(trained.model)), "gold")
+    found = optimality(vectors, trained.model)
+    return _certified(found.where(F.abs(F.col("accuracy") - trained.metrics["train_accuracy"]) < 1e-9), 256)
+
+
 def train_text_accuracy(spark, sf):
     """Train on the cleaned train texts, evaluate on the test texts; the loss per pass."""
     silver = _silver(spark, sf)
@@ -77,6 +99,24 @@ def pca_2d(spark, sf):
     return points.select("id", "label", F.round("pc1", 6).alias("pc1"), F.round("pc2", 6).alias("pc2"))
 
 
+def pca_sound(spark, sf):
+    """All points placed: their axes are centred, uncorrelated, the first spreads most, and no axis spreads more than there is."""
+    points, _ = project_2d(gold(spark, sf).drop("split"), max_points=None)
+    one, two = F.var_pop("pc1"), F.var_pop("pc2")
+    found = points.agg(
+        F.count("*").alias("n_points"), F.avg("pc1").alias("m1"), F.avg("pc2").alias("m2"), F.corr("pc1", "pc2").alias("r"), one.alias("v1"), two.alias("v2")
+    )
+    sums = gold(spark, sf).select(F.posexplode("embedding").alias("i", "v")).groupBy("i").agg(F.var_pop("v").alias("v"))
+    total = sums.agg(F.sum("v").alias("v")).scalar()
+    return found.select(
+        "n_points",
+        (F.greatest(F.abs("m1"), F.abs("m2")) < 1e-6).alias("centred"),
+        (F.abs("r") < 1e-6).alias("uncorrelated"),
+        F.col("v1").between(F.col("v2"), total).alias("ordered"),
+        F.round(total, 3).alias("total_variance"),
+    )
+
+
 def pca_new_points(spark, sf):
     """Fit on the training split, place the test split as new points."""
     everything = gold(spark, sf)
@@ -118,9 +158,12 @@ QUERIES = {
         gold_job_rows,
         python_encoder,
         train_lr_accuracy,
+        train_lr_optimal,
+        train_text_optimal,
         train_text_accuracy,
         shared_encoder_scores,
         pca_2d,
+        pca_sound,
         pca_new_points,
         predict_with_model,
         predict_with_text_model,
@@ -132,6 +175,13 @@ _SILVER = f"SELECT DISTINCT {clean_sql('text')} AS text, label, split FROM ({REV
 
 ORACLE = {
     "gold_job_rows": f"SELECT text, label::BIGINT AS label, split, 256::BIGINT AS dim, true AS within_unit FROM ({_SILVER})",
+    "train_lr_optimal": f"""SELECT count(*) AS n_rows, 64::BIGINT AS n_features, true AS at_optimum, true AS better_than_chance,
+  64::BIGINT AS size FROM ({GOLD_SQL}) WHERE split = 'train'""",
+    "train_text_optimal": f"""SELECT count(*) AS n_rows, 256::BIGINT AS n_features, true AS at_optimum, true AS better_than_chance,
+  256::BIGINT AS size FROM ({_SILVER}) WHERE split = 'train'""",
+    "pca_sound": """SELECT (SELECT count(*) FROM embeddings) AS n_points, true AS centred, true AS uncorrelated, true AS ordered,
+  round(sum(v), 3) AS total_variance FROM (SELECT i, var_pop(x::DOUBLE) AS v FROM (
+    SELECT unnest(embedding) AS x, unnest(range(len(embedding))) AS i FROM embeddings) GROUP BY i)""",
     "pca_export": f"SELECT id, label, text FROM ({GOLD_SQL})",
     "python_encoder": f"""SELECT text, label::BIGINT AS label, split, length(text)::BIGINT AS n_chars,
   CASE WHEN text = '' THEN 0 ELSE len(string_split(text, ' ')) END::BIGINT AS n_words FROM ({_SILVER})""",

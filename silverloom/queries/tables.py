@@ -57,8 +57,8 @@ def compacted_as_of(spark, sf):
     compact(spark, path)
     parts = len(visible(read_log(spark, path)))
     early = read_table(spark, path, GOLD, as_of=4000).agg(F.count("*").alias("n_early"), F.max(F.col("id").cast("long")).alias("last_early"))
-    whole = read_table(spark, path, GOLD).agg(F.count("*").alias("n_rows"), F.lit(parts).cast("long").alias("n_parts"))
-    return early.crossJoin(whole)
+    whole = read_table(spark, path, GOLD).agg(F.count("*").alias("n_rows")).scalar()
+    return early.select("*", whole.alias("n_rows"), F.lit(parts).cast("long").alias("n_parts"))
 
 
 def expired_commits(spark, sf):

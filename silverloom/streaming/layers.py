@@ -1,5 +1,8 @@
 """Topic to bronze, and bronze to silver, as streams."""
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +17,7 @@ from silverloom.session import is_missing_path
 from silverloom.streaming.run import batch_stamp, replace_batch, stream_id
 
 ARRIVAL = "_arrival"
+STREAM_KEY = [TEXT_KEY, "label", "split"]
 
 
 def bronze_stream(
@@ -99,18 +103,26 @@ def _earlier(spark: SparkSession, path: str, stream: str, batch_id: int) -> Data
     return keys.where((F.col("stream") != stream) | (F.col("batch_id") < batch_id)).drop("stream", "batch_id")
 
 
-def dedup_stream(silver: DataFrame, salts: int = 16) -> DataFrame:
-    """Streaming deduplication that keeps every key in the state store; any one row per key survives.
+def dedup_stream(silver: DataFrame, time: str | None = None, within: str | None = None) -> DataFrame:
+    """Streaming deduplication that keeps every key once in the state store; any one row per key survives.
 
-    The first step also groups by a salt made of the id, so a text that floods the stream is thinned out by several
-    tasks before the second step sees it once per salt. The state is kept in RocksDB, outside the heap.
+    Before the shuffle each Arrow batch of a task is thinned to one row per key, without state, so a text that floods the
+    stream reaches its reducer a few times only. With ``within`` (and the timestamp column ``time``) a key is forgotten after
+    that delay, which bounds the state. Call ``large_state`` first to keep the state outside the heap.
     """
-    large_state(silver.sparkSession)
-    keyed = silver.withColumn(TEXT_KEY, text_key(F.col("text"))).withColumn(
-        "_salt", F.pmod(F.xxhash64("id"), F.lit(salts))
-    )
-    thinned = keyed.dropDuplicates([TEXT_KEY, "label", "split", "_salt"])
-    return thinned.dropDuplicates([TEXT_KEY, "label", "split"]).drop("_salt", TEXT_KEY)
+    keyed = silver.withColumn(TEXT_KEY, text_key(F.col("text")))
+    thinned = keyed.mapInArrow(_one_of_each, keyed.schema)
+    if within is None:
+        return thinned.dropDuplicates(STREAM_KEY).drop(TEXT_KEY)
+    return thinned.withWatermark(time, within).dropDuplicatesWithinWatermark(STREAM_KEY).drop(TEXT_KEY)
+
+
+def _one_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of each key in a batch."""
+    for batch in batches:
+        keys = pa.table([*(batch.column(c) for c in STREAM_KEY), pa.array(range(batch.num_rows))], [*STREAM_KEY, "row"])
+        first = keys.group_by(STREAM_KEY).aggregate([("row", "min")]).column("row_min").combine_chunks()
+        yield batch.take(first.sort())
 
 
 def large_state(spark: SparkSession) -> None:
