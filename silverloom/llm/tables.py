@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
+from silverloom.commits import remove_path
 from silverloom.llm.ship import ship
 from silverloom.session import new_folder
 
@@ -27,4 +28,12 @@ def settled(df: DataFrame, name: str) -> DataFrame:
             spark.conf.unset(_CLEAN)
         else:
             spark.conf.set(_CLEAN, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.settled_at = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove settled tables that no later step reads: what was made of them has been settled too."""
+    for table_ in tables:
+        remove_path(table_.sparkSession, table_.settled_at)
