@@ -30,7 +30,7 @@ def topic_snapshot(spark: SparkSession, topic: str, servers: str | None = None,
 def topic_batch(spark: SparkSession, topic: str, servers: str | None = None) -> DataFrame:
     """Everything the topic holds, from its beginning; each use of the result reads anew and may find more."""
     if servers is None:
-        return spark.read.text(topic)
+        return spark.read.text(topic).select("value")
     return _value(_broker(spark, topic, servers))
 
 
@@ -50,7 +50,7 @@ def topic_stream(
         reader = spark.readStream.format("text")
         if max_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_per_trigger)
-        return reader.load(topic)
+        return reader.load(topic).select("value")
     reader = spark.readStream.format("kafka").option("startingOffsets", "earliest")
     if max_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)

@@ -1,5 +1,7 @@
 """Balanced samples, certificates of training, snapshots of topics, one-operator stream dedup."""
 
+import json
+import time
 from collections import Counter
 
 import numpy as np
@@ -11,9 +13,9 @@ from silverloom.operators import sampling
 from silverloom.operators.sampling import sample_balanced
 from silverloom.plans.jobs import ingest_bronze, rejected_path
 from silverloom.sources.jsonl import read_lines
-from silverloom.sources.topic import topic_snapshot
+from silverloom.sources.topic import topic_batch, topic_snapshot
 from silverloom.streaming.layers import dedup_stream, large_state
-from silverloom.streaming.run import drain
+from silverloom.streaming.run import drain, publish_paced
 
 
 @pytest.mark.parametrize(
@@ -86,6 +88,22 @@ def test_the_first_messages_of_a_topic(spark, tmp_path):
     assert spark.read.json(rejected_path(path)).count() == 1
 
 
+def test_paced_publishing(spark, tmp_path):
+    """All rows, in order, a few per turn; a second start publishes nothing anew."""
+    rows = spark.createDataFrame([(7 * i, str(i), f"text {i}", 1, "train", None) for i in range(25)], "at long, id string, text string, label int, split string, request_id string")
+    topic = str(tmp_path / "topic")
+    start = time.monotonic()
+    assert publish_paced(rows.repartition(3), topic, "at", str(tmp_path / "c"), 10, 1.0) == 25
+    assert time.monotonic() - start >= 2.0
+    batches = {}
+    for r in spark.read.text(topic).collect():
+        batches.setdefault(r["batch_id"], set()).add(int(json.loads(r["value"])["id"]))
+    assert batches == {0: set(range(10)), 1: set(range(10, 20)), 2: set(range(20, 25))}
+    assert publish_paced(rows, topic, "at", str(tmp_path / "c"), 10, 0.2) == 25
+    assert topic_batch(spark, topic).count() == 25
+    assert publish_paced(rows.limit(0), str(tmp_path / "none"), "at", str(tmp_path / "d"), 10, 0.2) == 0
+
+
 def test_stream_state_holds_each_key_once(spark, tmp_path):
     """A text that floods the stream is thinned before the shuffle; the state has as many rows as there are keys."""
     large_state(spark)
