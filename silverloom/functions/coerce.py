@@ -30,6 +30,11 @@ def text_of(v: Column, default: str = "") -> Column:
     )
 
 
+def long_text(v: Column) -> Column:
+    """The same for a field that is nearly always a string, and a long one: other kinds take the longer way."""
+    return F.when(_kind(v) == "STRING", _get(v, "$", "string")).otherwise(text_of(v))
+
+
 def is_falsy(v: Column) -> Column:
     """Missing, null, false, zero, the empty string, the empty list and the empty object."""
     kind = _kind(v)

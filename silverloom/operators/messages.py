@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverloom.constants import INFERENCE_SPLIT, UNKNOWN_SPLIT
-from silverloom.functions.coerce import bronze_label, silver_label, text_of, text_or_null
+from silverloom.functions.coerce import bronze_label, long_text, silver_label, text_of, text_or_null
 from silverloom.functions.text import clean_text
 from silverloom.schemas import REVIEW
 from silverloom.sources.jsonl import MESSAGE_FIELDS, with_parsed
@@ -56,7 +56,7 @@ def bronze_from_messages(messages: DataFrame, default_split: str, value: str = "
     rows = _checked(parsed, bronze_label(F.col("parsed.label")), keep)
     good = rows.where("error is null").select(
         text_of(F.col("parsed.id")).alias("id"),
-        F.coalesce("parsed.text", F.lit("")).alias("text"),
+        long_text(F.col("parsed.text")).alias("text"),
         "label",
         F.coalesce(text_or_null(F.col("parsed.split")), F.lit(default_split)).alias("split"),
         _request_id(F.col("parsed.request_id")).alias("request_id"),
@@ -72,7 +72,7 @@ def silver_from_messages(messages: DataFrame, value: str = "value") -> Checked:
     rows = _checked(parsed, silver_label(F.col("parsed.label")), keep)
     good = rows.where("error is null").select(
         text_of(F.col("parsed.id")).alias("id"),
-        clean_text(F.col("parsed.text")).alias("text"),
+        clean_text(long_text(F.col("parsed.text"))).alias("text"),
         "label",
         text_of(F.col("parsed.split"), UNKNOWN_SPLIT).alias("split"),
         _request_id(F.col("parsed.request_id")).alias("request_id"),
@@ -131,7 +131,7 @@ def requests_from_messages(messages: DataFrame, value: str = "value") -> DataFra
     return rows.select(
         text_or_null(F.col("parsed.request_id")).alias("request_id"),
         text_or_null(F.col("parsed.id")).alias("id"),
-        F.coalesce("parsed.text", F.lit("")).alias("text"),
+        long_text(F.col("parsed.text")).alias("text"),
         F.when(split.isNotNull(), text_of(split)).alias("split"),
         "label",
         "error",

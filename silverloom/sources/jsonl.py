@@ -11,7 +11,7 @@ ORDER = "line_order"
 # Spark names the files of its text sink *.txt.
 FILES = "*.{jsonl,json,txt}"
 
-MESSAGE_FIELDS = "id variant, text string, label variant, split variant, request_id variant"
+MESSAGE_FIELDS = "id variant, text variant, label variant, split variant, request_id variant"
 
 
 def strip_blanks(line: Column) -> Column:

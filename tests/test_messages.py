@@ -147,3 +147,14 @@ def test_dataset_source(spark):
     assert len(whole) == 100 and whole[:10] == mixed
     assert [r["text"] for r in whole] != sorted((r["text"] for r in whole), key=lambda t: int(t.split()[1]))
     assert (resolve_cap(0), resolve_cap(None, 5), resolve_cap(3, 5), resolve_cap(0, 5)) == (None, 5, 3, 5)
+
+
+def test_texts_of_other_kinds(spark):
+    """A text keeps the kind it has in the message, as ids do."""
+    forms = [("true", "True"), ("false", "False"), ("5", "5"), ("1.0", "1.0"), ('"x"', "x"), ("null", ""), ('""', "")]
+    rows = [(f'{{"id":"{i}","text":{form}}}',) for i, (form, _) in enumerate(forms)]
+    df = spark.createDataFrame(rows, "value string")
+    bronze = {r["id"]: r["text"] for r in bronze_from_messages(df, "train").good.collect()}
+    silver = {r["id"]: r["text"] for r in silver_from_messages(df).good.collect()}
+    assert bronze == {str(i): want for i, (_, want) in enumerate(forms)}
+    assert silver == {i: t.lower() for i, t in bronze.items()}
