@@ -47,6 +47,10 @@ def publish(df: DataFrame, topic: str, servers: str | None = None, mode: str = "
         messages.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
 
 
-def write_dead_letters(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Failed messages as ``{error, ts_ms, payload}`` lines."""
-    df.select(F.to_json(F.struct("error", "ts_ms", "payload")).alias("value")).write.mode(mode).text(path)
+def write_dead_letters(df: DataFrame, path: str, mode: str = "append", servers: str | None = None) -> None:
+    """Failed messages as ``{error, ts_ms, payload}``: to the topic ``path`` of a broker when ``servers`` is given, else as lines."""
+    letters = df.select(F.to_json(F.struct("error", "ts_ms", "payload")).alias("value"))
+    if servers is None:
+        letters.write.mode(mode).text(path)
+    else:
+        letters.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", path).save()

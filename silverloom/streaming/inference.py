@@ -25,7 +25,11 @@ LOOKED_UP = ["request_id"]
 
 
 class Sinks(NamedTuple):
-    """Folders; all but ``staging`` and ``gold`` are always written. Set ``gold`` to None to leave it out."""
+    """Folders; all but ``staging`` and ``gold`` are always written. Set ``gold`` to None to leave it out.
+
+    With ``dead_letter_servers`` the dead letters go to the topic ``dead_letters`` of that broker; a batch that is replayed may
+    send its letters twice.
+    """
 
     staging: str
     bronze: str
@@ -33,6 +37,7 @@ class Sinks(NamedTuple):
     predictions: str
     dead_letters: str
     gold: str | None = None
+    dead_letter_servers: str | None = None
 
 
 class BatchReport(NamedTuple):
@@ -114,7 +119,10 @@ def write_batch(
             gold_error = str(error).splitlines()[0]
 
     letters = staged.where(~ok).select("error", F.col("created_at_ms").alias("ts_ms"), "payload")
-    write_dead_letters(letters, f"{sinks.dead_letters}/stream={stream}/batch_id={batch_id}", mode="overwrite")
+    if sinks.dead_letter_servers is not None:
+        write_dead_letters(letters, sinks.dead_letters, servers=sinks.dead_letter_servers)
+    else:
+        write_dead_letters(letters, f"{sinks.dead_letters}/stream={stream}/batch_id={batch_id}", mode="overwrite")
 
     if compact_every and (batch_id + 1) % compact_every == 0:
         compact(spark, sinks.predictions, before=commit, keys=LOOKED_UP)

@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 
 from silverloom.models.classifier import optimality, train_classifier
 from silverloom.operators import sampling
+from silverloom.operators.predict import linear_step
 from silverloom.operators.sampling import sample_balanced
 from silverloom.plans.jobs import ingest_bronze, rejected_path
+from silverloom.schemas import PREDICTION
 from silverloom.sources.jsonl import read_lines
-from silverloom.sources.topic import topic_batch, topic_snapshot
+from silverloom.sources.tables import read_table
+from silverloom.sources.topic import topic_batch, topic_snapshot, topic_stream
+from silverloom.streaming.inference import Sinks, inference_stream
 from silverloom.streaming.layers import dedup_stream, large_state
 from silverloom.streaming.run import drain, publish_paced
 
@@ -134,3 +138,27 @@ def test_forgotten_keys(spark, tmp_path):
     writer = dedup_stream(stream, "at", "1 hour").writeStream.format("parquet").option("path", str(tmp_path / "out"))
     drain(writer.option("checkpointLocation", str(tmp_path / "c")))
     assert sorted(r["text"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b"]
+
+
+def test_staging_and_dead_letters_of_a_stream(spark, tmp_path):
+    """Only the last batch stays staged; with servers the letters go to a broker (no connector is at hand here)."""
+    topic = tmp_path / "topic"
+    topic.mkdir()
+    for i in range(3):
+        (topic / f"{i}.txt").write_text(json.dumps({"id": str(i), "text": "x", "split": "inference"}) + "\nbroken")
+        time.sleep(0.01)
+    names = ("staging", "bronze", "silver", "predictions", "letters", "gold")
+    sinks = Sinks(*(str(tmp_path / n) for n in names))
+
+    def run(sinks, checkpoint):
+        stream = topic_stream(spark, str(topic), max_per_trigger=1)
+        encode = lambda df: df.withColumn("embedding", F.array(F.lit(1.0).cast("float")))
+        drain(inference_stream(stream, encode, linear_step([1.0], 0.0), sinks, str(tmp_path / checkpoint), size=1, compact_every=2))
+
+    run(sinks, "c")
+    staged = [p.name for p in (tmp_path / "staging").glob("stream=*/*")]
+    assert staged == ["batch_id=2"]
+    assert read_table(spark, sinks.predictions, PREDICTION).count() == 3
+    assert spark.read.text(sinks.dead_letters).count() == 3
+    with pytest.raises(Exception, match="kafka"):
+        run(sinks._replace(dead_letters="letters", dead_letter_servers="nowhere:9092"), "d")
