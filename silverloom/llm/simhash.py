@@ -11,7 +11,8 @@ it is the pigeonring principle, and the tests compare with all pairs. Equal fing
 copies are not paired, and no key can hold more than the 2**20 fingerprints that its free bits allow.
 
 Defined results: a null, empty or blank text has fingerprint zero and links like any other. A row without doc_id has a
-fingerprint and component null, and links nothing. Rows with one doc_id are one document. Ties cannot occur, since the
+fingerprint and component null, and links nothing. Rows with one doc_id are one document: what any of
+its texts is linked to is one component. Ties cannot occur, since the
 smallest doc_id names a component.
 """
 
@@ -117,11 +118,19 @@ def with_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     return settled(docs.select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text)).alias("bits")), "fingerprints")
 
 
+def _one_document(marked: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links between the nodes of the fingerprints that share a doc_id, each to the least of them."""
+    prints = marked.where("doc_id is not null").groupBy("doc_id").agg(F.min("bits").alias("low"), F.max("bits").alias("high"))
+    several = marked.join(prints.where("low < high").select("doc_id"), "doc_id").distinct().join(nodes, "bits")
+    least = several.groupBy("doc_id").agg(F.min("node").alias("a"))
+    return several.join(least, "doc_id").select("a", F.col("node").alias("b")).where("a <> b")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, bits and component_id of every row."""
     marked = with_fingerprints(docs, doc_id, text)
     nodes = settled(marked.where("doc_id is not null").groupBy("bits").agg(F.min("doc_id").alias("node")), "nodes")
-    groups = connected_components(linked_fingerprints(nodes))
+    groups = connected_components(linked_fingerprints(nodes).unionByName(_one_document(marked, nodes)))
     named = nodes.join(groups, "node", "left").select(
         F.col("bits").alias("b"), F.coalesce("component", "node").alias("component_id")
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(__file__))
 
-from cases import documents, texts  # noqa: E402
+from cases import documents, sentence, texts  # noqa: E402
 
 from silverloom.llm import simhash  # noqa: E402
 from silverloom.llm.components import connected_components  # noqa: E402
@@ -50,6 +50,14 @@ def test_fingerprints_and_groups(spark, monkeypatch):
     assert all(simhash.fingerprint_of((t or "").encode()) == f for (_, t), f in want.items())
 
 
+def test_texts_of_one_document(spark):
+    """0 and 2 are linked through the two texts of document 1; repeated rows change nothing."""
+    a, b, c = (sentence(random.Random(n), "en", 40) for n in (1, 2, 3))
+    rows = [(0, b), (1, a), (1, b), (1, b), (2, a), (3, c), (3, ""), (3, None), (4, " "), (5, "alone"), (None, a)]
+    found = simhash.near_duplicates(documents(spark, [(*r, "en", "s") for r in rows])).select("doc_id", "component_id").distinct().collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {0: 0, 1: 0, 2: 0, 3: 3, 4: 3, 5: 5, None: None}
+
+
 def test_no_pair_is_missed(spark):
     rng = random.Random(4)
     base = [rng.getrandbits(64) for _ in range(60)]
