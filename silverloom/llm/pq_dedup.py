@@ -2,7 +2,9 @@
 
 A sample of at most ``FIT`` vectors is clustered on the driver into coarse centres and, of what is left beside them, into
 subspace codes. Every vector is then in the list of its nearest centre, with its codes and the length of what the codes miss.
-As a query it probes each list whose centre is hardly farther than its own: by ``MARGIN`` in squared distance. In a list its
+As a query it probes each list whose centre is hardly farther than its own: in squared distance by ``MARGIN``, or by what a
+partner at the limit can cross between the two centres. That is twice its distance by the centres', and ``SPREAD`` / root of the
+dimension of it, for few directions lead from one centre to the other; in one or two dimensions the whole, which loses none. In a list its
 distances to the coded vectors are sums of table entries; the triangle inequality turns them into a lower bound, so no partner
 in a probed list is lost. What may be near enough is compared by exact cosine in double precision. A pair is found where either
 of the two probes the list of the other; the tests hold the recall against all pairs, see the README.
@@ -11,8 +13,12 @@ Lists are split into blocks of about ``BLOCK`` vectors, which queries pass one a
 and a batch. Equal vectors are one. Links are counted where they are found; for the components a block reports a spanning
 forest and not its pairs, so thousands of near copies make thousands of rows.
 
+Vectors of all lengths are in one index; only those of one length are compared. The index sees each unit vector's first
+components, as many as the most common length has (of equals, the larger), with zeros where there are fewer: leaving components
+out only brings vectors nearer, so the bounds hold, and the cosine is that of the whole vectors.
+
 Defined results: a vector that is null, empty, zero, or has a null or non-finite component links with nothing, nor does one
-whose length is not the most common (of equals, the larger) or one without vec_id; such rows have no links and are components
+without vec_id; such rows have no links and are components
 of their own. Repeated rows are vectors of their own that link. An empty table gives no rows. Other columns are not read.
 """
 
@@ -35,7 +41,7 @@ LEAST = 0.9
 #: Vectors that the codes are fitted on; bounds of the number of lists, which is twice the root of the number of vectors.
 FIT, LISTS = 20_000, (1, 4096)
 PARTS, CODES = 8, 64
-MARGIN = 0.12
+MARGIN, SPREAD = 0.12, 1.5
 BLOCK = 1024
 #: Queries that are compared with a block at once.
 TOGETHER = 256
@@ -52,6 +58,10 @@ class Codebook:
         d = (x**2).sum(1)[:, None] - 2 * x @ self.centres.T + (self.centres**2).sum(1)
         return d, d.argmin(1)
 
+    def margin(self, apart: np.ndarray, size: np.ndarray | int) -> np.ndarray:
+        """How much farther a probed centre may be, by its squared distance to the own one and the vectors' length."""
+        return np.maximum(MARGIN, 2 * np.sqrt((2 - 2 * LEAST) * np.maximum(apart, 0)) * np.minimum(1, SPREAD / np.sqrt(size)))
+
     def split(self, rest: np.ndarray) -> Iterator[np.ndarray]:
         for i in range(len(self.edges) - 1):
             yield rest[:, self.edges[i] : self.edges[i + 1]]
@@ -84,12 +94,21 @@ def _clusters(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     return centres
 
 
-def fit(vectors: DataFrame, lists: int) -> Codebook:
-    """A codebook from a sample of the vectors ``x``; ``vectors`` has node and x."""
+def fit(vectors: DataFrame, lists: int, width: int) -> Codebook:
+    """A codebook from the first ``width`` components of a sample of the vectors ``x``; ``vectors`` has node and x."""
+
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = pa.array(_heads(batch.column("x"), width).ravel())
+            yield pa.RecordBatch.from_arrays([pa.FixedSizeListArray.from_arrays(values, width).cast(pa.list_(pa.float64()))], ["x"])
+
     count = vectors.count()
     chance = F.pmod(F.xxhash64("node", F.lit("fit")), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    rows = vectors.where(chance < min(1.0, FIT / max(count, 1))).orderBy(F.xxhash64("node")).select("x").toArrow()["x"]
-    x = _units(rows.combine_chunks() if len(rows) else vectors.limit(1).select("x").toArrow()["x"].combine_chunks())
+    sample = vectors.where(chance < min(1.0, FIT / max(count, 1))).orderBy(F.xxhash64("node")).select("x")
+    rows = sample.mapInArrow(heads, "x array<double>").toArrow()["x"]
+    if not len(rows):
+        rows = vectors.limit(1).select("x").mapInArrow(heads, "x array<double>").toArrow()["x"]
+    x = rows.combine_chunks().flatten().to_numpy().reshape(-1, width)
     centres = _clusters(x, min(lists, len(x)))
     edges = np.unique(np.linspace(0, x.shape[1], PARTS + 1).astype(int))
     book = Codebook(centres, np.empty(0), edges)
@@ -108,6 +127,21 @@ def _units(column: pa.Array) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _head(units: np.ndarray, width: int) -> np.ndarray:
+    """The first components, with zeros behind where there are fewer."""
+    return np.pad(units[:, :width], ((0, 0), (0, max(0, width - units.shape[1]))))
+
+
+def _heads(column: pa.Array, width: int) -> np.ndarray:
+    """The same of a column of vectors, whatever their lengths."""
+    sizes = column.value_lengths().to_numpy()
+    out = np.zeros((len(column), width))
+    for size in np.unique(sizes):
+        rows = np.flatnonzero(sizes == size)
+        out[rows] = _head(_units(column.take(pa.array(rows))), width)
+    return out
+
+
 def _index(vectors: DataFrame, book) -> DataFrame:
     """Adds the list of every vector, the squared distance to its centre, and the lists it probes."""
 
@@ -116,14 +150,15 @@ def _index(vectors: DataFrame, book) -> DataFrame:
         for batch in batches:
             for i in range(0, batch.num_rows, BLOCK):
                 part = batch.slice(i, BLOCK)
-                d, near = b.place(_units(part.column("x")))
+                d, near = b.place(_heads(part.column("x"), b.centres.shape[1]))
                 least = d[np.arange(len(near)), near]
-                probes = [np.flatnonzero(row <= low + MARGIN).astype(np.int32) for row, low in zip(d, least, strict=True)]
+                reach = least[:, None] + b.margin(b.place(b.centres[near])[0], part.column("d").to_numpy()[:, None])
+                probes = [np.flatnonzero(row <= far).astype(np.int32) for row, far in zip(d, reach, strict=True)]
                 columns = [*part.columns, pa.array(near.astype(np.int32)), pa.array(least), pa.array(probes, pa.list_(pa.int32()))]
                 yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, "list", "least", "probes"])
 
     kind = vectors.schema["x"].dataType.simpleString()
-    return vectors.select("node", "n", "x").mapInArrow(place, f"node long, n long, x {kind}, list int, least double, probes array<int>")
+    return vectors.select("node", "n", "d", "x").mapInArrow(place, f"node long, n long, d int, x {kind}, list int, least double, probes array<int>")
 
 
 def _forest(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
@@ -141,20 +176,21 @@ def _forest(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
 
 
 class _Block:
-    """The coded vectors of one block of a list."""
+    """The coded vectors of one block of a list, all of one length."""
 
     def __init__(self, book: Codebook, at: int, rows: list[pa.RecordBatch]):
         table = pa.Table.from_batches(rows).combine_chunks()
         self.book, self.centre = book, book.centres[at]
         self.node, self.n, self.least = (table[c].to_numpy() for c in ("node", "n", "least"))
         self.x = _units(table["x"].combine_chunks())
-        self.codes, self.missed = book.encode(self.x - self.centre)
+        self.head = _head(self.x, len(self.centre))
+        self.codes, self.missed = book.encode(self.head - self.centre)
 
     def search(self, part: pa.RecordBatch, at: int) -> tuple[np.ndarray, ...] | None:
         """(a, b, links): links found for a, and a forest of the links."""
         node, n, home = (part.column(c).to_numpy() for c in ("node", "n", "list"))
         q = _units(part.column("x"))
-        tables = self.book.tables(q - self.centre)
+        tables = self.book.tables(_head(q, len(self.centre)) - self.centre)
         near = np.zeros((len(q), len(self.x)))
         for i in range(tables.shape[1]):
             near += tables[:, i][:, self.codes[:, i]]
@@ -165,7 +201,8 @@ class _Block:
         if not len(i):
             return None
         other = self.book.centres[home[i]]
-        both = ((self.x[j] - other) ** 2).sum(1) <= self.least[j] + MARGIN - 1e-9
+        margin = self.book.margin(((other - self.centre) ** 2).sum(1), self.x.shape[1])
+        both = ((self.head[j] - other) ** 2).sum(1) <= self.least[j] + margin - 1e-9
         both |= home[i] == at
         asked = np.bincount(i, self.n[j], len(q)).astype(np.int64)
         told = np.bincount(j[~both], n[i[~both]], len(self.x)).astype(np.int64)
@@ -179,19 +216,19 @@ class _Block:
         return a, b, links, forest
 
 
-def _links(index: DataFrame, book, blocks: dict[int, int]) -> DataFrame:
-    """a, b, links, forest: counts of links (b is empty), and links (a, b) that span what is linked."""
+def _links(index: DataFrame, book, blocks: DataFrame) -> DataFrame:
+    """a, b, links, forest, by the number of blocks of each list and length: counts of links (b is empty), and links (a, b) that span what is linked."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b, now, rows, block = book.value, None, [], None
         for batch in batches:
-            keys = [batch.column(c).to_numpy() for c in ("probe", "block", "asks")]
+            keys = [batch.column(c).to_numpy() for c in ("probe", "d", "block", "asks")]
             change = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
             for start, end in zip([0, *change], [*change, batch.num_rows], strict=True):
                 at = tuple(int(k[start]) for k in keys)
-                if at[:2] != now:
-                    now, rows, block = at[:2], [], None
-                if not at[2]:
+                if at[:3] != now:
+                    now, rows, block = at[:3], [], None
+                if not at[3]:
                     rows.append(batch.slice(start, end - start))
                     continue
                 if not rows:
@@ -202,14 +239,15 @@ def _links(index: DataFrame, book, blocks: dict[int, int]) -> DataFrame:
                     if found is not None:
                         yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["a", "b", "links", "forest"])
 
-    counts = F.create_map(*[F.lit(v) for item in blocks.items() for v in item])
-    columns = ["node", "n", "x", "list", "least"]
-    own = F.pmod(F.xxhash64("node"), counts[F.col("list")]).cast("int")
-    data = index.select(*columns, F.col("list").alias("probe"), own.alias("block"), F.lit(0).alias("asks"))
-    probed = index.select(*columns, F.explode("probes").alias("probe")).where(F.array_contains(F.map_keys(counts), F.col("probe")))
-    asks = probed.select("*", F.explode(F.sequence(F.lit(0), counts[F.col("probe")] - 1)).alias("block"), F.lit(1).alias("asks"))
-    placed = data.unionByName(asks.withColumn("block", F.col("block").cast("int"))).repartition("probe", "block")
-    ordered = placed.sortWithinPartitions("probe", "block", "asks")
+    columns = ["node", "n", "d", "x", "list", "least"]
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    data = index.select(*columns, F.col("list").alias("probe")).join(blocks, ["probe", "d"])
+    data = data.select(*columns, "probe", own.alias("block"), F.lit(0).alias("asks"))
+    asks = index.select(*columns, F.explode("probes").alias("probe")).join(blocks, ["probe", "d"])
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1))
+    asks = asks.select(*columns, "probe", every.alias("block"), F.lit(1).alias("asks"))
+    placed = data.unionByName(asks).repartition("probe", "d", "block")
+    ordered = placed.sortWithinPartitions("probe", "d", "block", "asks")
     return ordered.mapInArrow(search, "a long, b long, links long, forest boolean")
 
 
@@ -227,15 +265,15 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     alone = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     if common is None:
         return alone
-    classes = rows.where(F.col("sound") & (F.size("x") == common["d"])).groupBy("e", "f")
+    classes = rows.where("sound").groupBy("e", "f", F.size("x").alias("d"))
     classes = settled(
         classes.agg(F.min("vec_id").cast("long").alias("node"), F.count(F.lit(1)).alias("n"), F.first("x").alias("x")), "vectors"
     )
     lists = min(LISTS[1], max(LISTS[0], round(2 * sqrt(classes.count()))))
-    book = spark.sparkContext.broadcast(fit(classes, lists))
+    book = spark.sparkContext.broadcast(fit(classes, lists, common["d"]))
     index = settled(_index(classes, book), "inverted_lists")
-    sizes = index.groupBy("list").count().collect()  # one row for each list
-    found = settled(_links(index, book, {r["list"]: -(-r["count"] // BLOCK) for r in sizes}), "vector_links")
+    blocks = index.groupBy(F.col("list").alias("probe"), "d").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    found = settled(_links(index, book, settled(blocks, "blocks")), "vector_links")
     counts = found.where("not forest").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     groups = connected_components(found.where("forest").select("a", "b"))
     named = classes.select("e", "f", "node", "n").join(counts, "node", "left").join(groups, "node", "left")
