@@ -50,17 +50,37 @@ def test_recall_and_groups(spark, monkeypatch):
     assert np.mean([r["component_id"] for r in found] == component) > 0.98
 
 
+def test_vectors_of_several_lengths(spark, monkeypatch):
+    """Every length is compared within itself, also those shorter and longer than the index's width."""
+    monkeypatch.setattr(pq_dedup, "BLOCK", 16)
+    rng = np.random.default_rng(7)
+    parts = [clustered(rng, n, d) for n, d in ((400, 12), (160, 3), (160, 30), (16, 1))]
+    parts[2][:8, :20] = 0  # nothing in the components that the index sees
+    rows, links, component = [], [], []
+    for x in parts:
+        ids = range(len(rows), len(rows) + len(x))
+        near, label = all_pairs(ids, x)
+        rows += [(i, v.tolist()) for i, v in zip(ids, x, strict=True)]
+        links += near.tolist()
+        component += label.tolist()
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = sorted(pq_dedup.near_duplicates(df).collect(), key=lambda r: r["vec_id"])
+    got, links = np.array([r["n_links"] for r in found]), np.array(links)
+    assert (got <= links).all() and got.sum() >= 0.99 * links.sum() and all(links[i : i + 16].any() for i in (0, 400, 560, 720))
+    assert np.mean([r["component_id"] for r in found] == np.array(component)) > 0.98
+
+
 def test_awkward_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
         (1, [1.0, 0.0, 0.0]), (2, [2.0, 0.0, 0.0]), (3, [0.0, 1.0, 0.0]), (4, None), (5, []), (6, [0.0, 0.0, 0.0]), (7, [nan, 1.0, 0.0]),
-        (8, [inf, 0.0, 0.0]), (9, [None, 1.0, 0.0]), (10, [1.0, 0.0]), (None, [1.0, 0.0, 0.0]), (3, [0.0, 1.0, 0.0]), (11, [1e-200, 0.0, 1e-201]),
+        (8, [inf, 0.0, 0.0]), (9, [None, 1.0, 0.0]), (10, [1.0, 0.0]), (13, [3.0, 0.0]), (14, [1.0, 0.0, 0.0, 0.0]), (15, [1.0]), (None, [1.0, 0.0, 0.0]), (3, [0.0, 1.0, 0.0]), (11, [1e-200, 0.0, 1e-201]),
         (12, [1e200, 0.0, 0.0]),
     ]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     found = sorted(((r["vec_id"], r["n_links"], r["component_id"]) for r in pq_dedup.near_duplicates(df).collect()), key=repr)
-    alone = [(i, 0, i) for i in (4, 5, 6, 7, 8, 9, 10)]
-    want = [(1, 3, 1), (2, 3, 1), (11, 3, 1), (12, 3, 1), (3, 1, 3), (3, 1, 3), (None, 0, None), *alone]
+    alone = [(i, 0, i) for i in (4, 5, 6, 7, 8, 9, 14, 15)]
+    want = [(1, 3, 1), (2, 3, 1), (11, 3, 1), (12, 3, 1), (3, 1, 3), (3, 1, 3), (10, 1, 10), (13, 1, 10), (None, 0, None), *alone]
     assert found == sorted(want, key=repr)
     assert pq_dedup.near_duplicates(df.where("vec_id in (4, 5)")).count() == 2
     assert pq_dedup.near_duplicates(df.limit(0)).count() == 0
