@@ -17,6 +17,7 @@ from silverloom.schemas import PREDICTION
 from silverloom.sources.jsonl import read_lines
 from silverloom.sources.tables import read_table
 from silverloom.sources.topic import topic_batch, topic_snapshot, topic_stream
+from silverloom.streaming import run
 from silverloom.streaming.inference import Sinks, inference_stream
 from silverloom.streaming.layers import dedup_stream, large_state
 from silverloom.streaming.run import drain, publish_paced
@@ -108,6 +109,30 @@ def test_paced_publishing(spark, tmp_path):
     assert publish_paced(rows.limit(0), str(tmp_path / "none"), "at", str(tmp_path / "d"), 10, 0.2) == 0
 
 
+def test_paced_publishing_of_many_turns(spark, tmp_path, monkeypatch):
+    """A turn costs no job of its own, and a run that died goes on with the next turn."""
+    rows = spark.range(400).selectExpr("id at", "cast(id as string) id", "'t' text", "1 label", "'train' split", "cast(null as string) request_id")
+    topic, move, sent = str(tmp_path / "topic"), run.move_path, []
+
+    def failing(spark, source, target):
+        if len(sent) == 5:
+            raise OSError("lost")
+        sent.append(target)
+        move(spark, source, target)
+
+    monkeypatch.setattr(run, "move_path", failing)
+    with pytest.raises(OSError, match="lost"):
+        publish_paced(rows, topic, "at", str(tmp_path / "c"), 2, 0.01)
+    read = spark.read.text(topic)
+    assert {r["batch_id"] for r in read.collect()} == set(range(5)) and read.count() == 10
+    monkeypatch.setattr(run, "move_path", move)
+    start = time.monotonic()
+    assert publish_paced(rows, topic, "at", str(tmp_path / "c"), 2, 0.01) == 400
+    assert time.monotonic() - start < 40  # a job for each turn took over 100 s
+    found = sorted((int(json.loads(r["value"])["id"]), r["batch_id"]) for r in spark.read.text(topic).collect())
+    assert found == [(i, i // 2) for i in range(400)]
+
+
 def test_stream_state_holds_each_key_once(spark, tmp_path):
     """A text that floods the stream is thinned before the shuffle; the state has as many rows as there are keys."""
     large_state(spark)
