@@ -1,5 +1,6 @@
 """Raw rows, messages and the bronze and silver records made from them."""
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -46,39 +47,53 @@ def _extra_columns(messages: DataFrame, value: str) -> list[str]:
     return [c for c in messages.columns if c != value]
 
 
-def bronze_from_messages(messages: DataFrame, default_split: str, value: str = "value") -> Checked:
+def _split(rows: DataFrame, columns: dict[str, Column], keep: list[str], settle: Callable[[DataFrame], DataFrame] | None) -> Checked:
+    """Good and bad rows; ``settle`` gets both as one table, whose messages are parsed and cleaned when it is made and not again."""
+    if settle is not None:
+        ok = F.col("error").isNull()
+        both = [F.when(ok, c).alias(name) for name, c in columns.items()]
+        rows = settle(rows.select(F.when(~ok, F.col("value")).alias("value"), "error", *both, *keep))
+        columns = {name: F.col(name) for name in columns}
+    good = rows.where("error is null").select(*[c.alias(name) for name, c in columns.items()], *keep)
+    return Checked(good, rows.where("error is not null").select("value", "error"))
+
+
+def bronze_from_messages(
+    messages: DataFrame, default_split: str, value: str = "value", settle: Callable[[DataFrame], DataFrame] | None = None
+) -> Checked:
     """Messages as bronze records, leniently: falsy labels are 0, numbers are truncated, other values pass unchecked.
 
-    Other columns of ``messages`` (an order, an offset) are kept on the good side.
+    Other columns of ``messages`` (an order, an offset) are kept on the good side. ``settle`` writes a table and reads it back:
+    who uses both sides has the messages parsed once.
     """
     keep = _extra_columns(messages, value)
     parsed = with_parsed(messages.withColumnRenamed(value, "value"), MESSAGE_FIELDS)
     rows = _checked(parsed, bronze_label(F.col("parsed.label")), keep)
-    good = rows.where("error is null").select(
-        text_of(F.col("parsed.id")).alias("id"),
-        long_text(F.col("parsed.text")).alias("text"),
-        "label",
-        F.coalesce(text_or_null(F.col("parsed.split")), F.lit(default_split)).alias("split"),
-        _request_id(F.col("parsed.request_id")).alias("request_id"),
-        *keep,
-    )
-    return Checked(good, rows.where("error is not null").select("value", "error"))
-
-
-def silver_from_messages(messages: DataFrame, value: str = "value") -> Checked:
-    """Bronze lines as silver records, strictly: the label must equal 0 or 1, the text is cleaned."""
+    columns = {
+        "id": text_of(F.col("parsed.id")),
+        "text": long_text(F.col("parsed.text")),
+        "label": F.col("label"),
+        "split": F.coalesce(text_or_null(F.col("parsed.split")), F.lit(default_split)),
+        "request_id": _request_id(F.col("parsed.request_id")),
+    }
+    return _split(rows, columns, keep, settle)
+
+
+def silver_from_messages(
+    messages: DataFrame, value: str = "value", settle: Callable[[DataFrame], DataFrame] | None = None
+) -> Checked:
+    """Bronze lines as silver records, strictly: the label must equal 0 or 1, the text is cleaned. ``settle`` as for bronze."""
     keep = _extra_columns(messages, value)
     parsed = with_parsed(messages.withColumnRenamed(value, "value"), MESSAGE_FIELDS)
     rows = _checked(parsed, silver_label(F.col("parsed.label")), keep)
-    good = rows.where("error is null").select(
-        text_of(F.col("parsed.id")).alias("id"),
-        clean_text(long_text(F.col("parsed.text"))).alias("text"),
-        "label",
-        text_of(F.col("parsed.split"), UNKNOWN_SPLIT).alias("split"),
-        _request_id(F.col("parsed.request_id")).alias("request_id"),
-        *keep,
-    )
-    return Checked(good, rows.where("error is not null").select("value", "error"))
+    columns = {
+        "id": text_of(F.col("parsed.id")),
+        "text": clean_text(long_text(F.col("parsed.text"))),
+        "label": F.col("label"),
+        "split": text_of(F.col("parsed.split"), UNKNOWN_SPLIT),
+        "request_id": _request_id(F.col("parsed.request_id")),
+    }
+    return _split(rows, columns, keep, settle)
 
 
 def silver_from_bronze(bronze: DataFrame) -> Checked:

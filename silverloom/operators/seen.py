@@ -58,6 +58,8 @@ class SeenKeys:
 
     def near(self, keyed: DataFrame, but: str | None = None) -> DataFrame:
         """The keys of the index that may be among those of ``keyed``, a table of rows with their keys."""
+        if not self._parts(but):
+            return self.keys([], but)
         found = keyed.select(self.bucket()).distinct().collect()  # as many as there are buckets at most
         return self.keys(sorted(r[BUCKET] for r in found), but)
 

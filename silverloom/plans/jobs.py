@@ -79,7 +79,7 @@ def ingest_bronze(
     ``rejected_path(path)`` with the reason.
     """
     arrived = topic_snapshot(spark, topic, servers, ordered=limit is not None)
-    good, bad = bronze_from_messages(arrived, default_split)
+    good, bad = bronze_from_messages(arrived, default_split, settle=lambda rows: written(rows, "checked"))
     reject(bad, path, default_split)
     if limit is not None:
         good = first_rows(good, limit, "arrival")
@@ -89,14 +89,14 @@ def ingest_bronze(
 def build_silver(spark: SparkSession, bronze_path: str, silver_path: str, split: str) -> DataFrame:
     """One split of bronze to silver, without what silver holds already; returns the written silver of the split.
 
-    The keys of silver are indexed beside it, so a small increment reads little of what is known. Lines that do not become
-    silver go to ``rejected_path(silver_path)``.
+    The lines are parsed and cleaned once, whatever is made of them. The keys of silver are indexed beside it, so a small
+    increment reads little of what is known. Lines that do not become silver go to ``rejected_path(silver_path)``.
     """
     bronze = read_lines(spark, f"{bronze_path}/split={split}")
     stored = read_silver(spark, silver_path)
     seen = SeenKeys(spark, f"{silver_path.rstrip('/')}_keys")
     seen.cover(stored)
-    result = silver_job(bronze, existing=seen)
+    result = silver_job(bronze, existing=seen, settle=lambda rows: written(rows, "checked"))
     reject(result.quarantine, silver_path, split)
     new = written(result.silver, "new_silver")
     write_silver(new, silver_path)

@@ -95,3 +95,19 @@ def test_limit_takes_the_first_valid_messages(spark, tmp_path):
     ingest_bronze(spark, str(tmp_path / "topic"), str(tmp_path / "b"), "train", limit=7)
     stored = read_jsonl(spark, str(tmp_path / "b"), REVIEW)
     assert sorted(int(r["id"]) for r in stored.collect()) == [i for i in range(30) if i % 3][:7]
+
+
+def test_lines_are_parsed_once(spark, tmp_path, monkeypatch, plan):
+    """What is written from bronze and silver lines comes from a table of parsed ones; an empty index needs no look at the lines."""
+    from silverloom.plans import jobs
+
+    topic, bronze, silver = (str(tmp_path / n) for n in ("topic", "bronze", "silver"))
+    (tmp_path / "topic").mkdir()
+    (tmp_path / "topic" / "a.txt").write_text('{"id": "1", "text": "<b>A</b>", "label": 1}\nbad\n{"id": "2", "text": "B", "label": 2}\n')
+    plans = []
+    for name in ("reject", "write_layer", "write_silver"):
+        monkeypatch.setattr(jobs, name, lambda rows, *a, real=getattr(jobs, name), **k: (plans.append(plan(rows)), real(rows, *a, **k))[1])
+    ingest_bronze(spark, topic, bronze, "train")
+    assert [tuple(r) for r in build_silver(spark, bronze, silver, "train").collect()] == [("1", "a", 1, "train", None)]
+    assert spark.read.json(f"{bronze}_rejected").count() == spark.read.json(f"{silver}_rejected").count() == 1
+    assert len(plans) == 4 and not any("from_json" in p for p in plans)
