@@ -156,7 +156,11 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", dimensions: int
 
 
 def predict(text: Column, profiles: Profiles) -> Column:
-    """Struct of lang_pred and score, the cosine where it is positive."""
+    """Struct of lang_pred and score, the cosine where it is positive.
+
+    It counts as non-deterministic for Spark alone: a filter on it is not copied below, where it would be a second evaluation
+    and a second Python worker for each task, whose memory stays.
+    """
     dimensions = profiles.prototypes.shape[1]
 
     @F.arrow_udf("lang_pred string, score double")
@@ -174,7 +178,7 @@ def predict(text: Column, profiles: Profiles) -> Column:
                 scores.append(float(min(1.0, max(0.0, row[best]))) if n else 0.0)
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
-    return named(text)
+    return named.asNondeterministic()(text)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

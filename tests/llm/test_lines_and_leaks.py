@@ -138,3 +138,12 @@ def test_empty_tables_of_leaks(spark):
     assert decontaminate.contaminated_pairs(documents(spark), none).count() == 0
     assert decontaminate.without_benchmark(documents(spark), none).count() == len(texts())
     assert decontaminate.contaminated_pairs(documents(spark, []), none).count() == 0
+
+
+def test_items_are_cut_once(spark, plan, monkeypatch):
+    """The filter on empty items is no second evaluation, which would take a second Python worker."""
+    seen = []
+    monkeypatch.setattr(decontaminate, "settled", lambda df, name: seen.append(plan(df)) or df)
+    items = spark.createDataFrame([(1, "one two three four five six"), (2, " .. "), (3, None), (None, "a b")], "item_id long, text string")
+    found = decontaminate.item_shingles(items, "item_id", "text", 0.8)
+    assert {r["item"] for r in found.collect()} == {1} and seen[0].count("ArrowEvalPython [") == 1

@@ -175,3 +175,8 @@ def test_pipeline_without_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, "/root/testdata/sf0.001")
     assert docs.count() == 0
+
+
+def test_pipeline_predicts_once(spark, plan):
+    """The filter on the language is no second evaluation, which would take a second Python worker."""
+    assert plan(corpus_pipeline.language_id(spark, documents(spark), "")).count("ArrowEvalPython [") == 1
