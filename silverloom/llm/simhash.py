@@ -108,7 +108,7 @@ def linked_fingerprints(nodes: DataFrame, bits: str = "bits", node: str = "node"
     turn = "cast(4 * (at div 2) as int)"
     turned = f"(shiftleft({differ}, {turn}) | if(at < 2, 0L, shiftrightunsigned({differ}, 64 - {turn})))"
     chain = f"bit_count(shiftrightunsigned({turned}, 4)) <= 1"
-    joined = left.join(right, "key")
+    joined = left.join(right.hint("merge"), "key")  # Spark sizes the 32 keys of a fingerprint as one and would broadcast them
     return joined.where(f"x < y and {chain} and bit_count({differ}) <= {MOST_BITS}").select("a", "b")
 
 

@@ -74,6 +74,12 @@ def test_no_pair_is_missed(spark):
     assert found == {(i, j) for i, x in nodes for j, y in nodes if i < j and (x ^ y).bit_count() <= 2}
 
 
+def test_keys_are_not_broadcast(spark, plan):
+    """The keys are 32 times the fingerprints that Spark sizes them by."""
+    nodes = spark.range(1000).select(F.xxhash64("id").alias("bits"), F.col("id").alias("node"))
+    assert "Broadcast" not in plan(simhash.linked_fingerprints(nodes))
+
+
 def test_components(spark):
     rng = random.Random(6)
     pairs = [(i, i + 1) for i in range(30)] + [(100, 100 + i) for i in range(1, 40)] + [(rng.randint(200, 260), rng.randint(200, 260)) for _ in range(50)]
