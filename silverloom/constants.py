@@ -19,9 +19,8 @@ DEFAULT_MODEL_VERSION = "logreg"
 ENCODE_BATCH = 32
 VECTOR_SIZE = 768
 
-# Training: a fit takes a sample of at most so many rows unless the caller says otherwise.
+# Training.
 SEED = 42
-MAX_TRAIN_ROWS = 5000
 MAX_ITERATIONS = 2000
 
 # Upper bounds of the latency histograms, in seconds.

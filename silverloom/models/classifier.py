@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from silverloom.constants import MAX_ITERATIONS, MAX_TRAIN_ROWS, SEED
+from silverloom.constants import MAX_ITERATIONS, SEED
 from silverloom.functions.scores import threshold_label
 from silverloom.models.encode import VECTOR, text_stages
 from silverloom.models.store import load_model, model_exists
@@ -76,15 +76,15 @@ def train_classifier(
     label: str = "label",
     split: str = "split",
     key: str = "id",
-    max_records: int | None = MAX_TRAIN_ROWS,
+    max_records: int | None = None,
     seed: int = SEED,
 ) -> Trained:
     """Fit on the training split and measure accuracy on it and on the test split.
 
     Without ``test`` the test rows come from ``train`` by split, and an empty split gives no test accuracy; a separate
     ``test`` table falls back to all of its rows. ``test_split=None`` skips the evaluation. Only the vector, the label
-    and the sampling key are read. The fit takes an exact seeded sample of ``max_records`` training rows (all, with None);
-    the test accuracy is that of every test row.
+    and the sampling key are read. The fit takes all training rows, or an exact seeded sample of ``max_records`` of them where
+    that is given; the test accuracy is that of every test row.
     """
     rows = sample_exact(split_filter_or_all(train, train_split, split), max_records, key, seed)
     rows = rows.select(embedding, F.col(label).cast("double").alias(LABEL)).persist(StorageLevel.MEMORY_AND_DISK)

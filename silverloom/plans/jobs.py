@@ -7,7 +7,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverloom.constants import MAX_TRAIN_ROWS, SEED
+from silverloom.constants import SEED
 from silverloom.models.classifier import Trained, choose_encoder, train_classifier, train_text_model
 from silverloom.models.encode import fit_encoder, gold_from_silver
 from silverloom.models.store import model_exists, save_model
@@ -126,7 +126,7 @@ def backfill(
     test_split: str | None = "test",
     limit: int | None = None,
     size: int = 1 << 12,
-    max_records: int | None = MAX_TRAIN_ROWS,
+    max_records: int | None = None,
     seed: int = SEED,
     balanced: bool = False,
 ) -> Trained | None:

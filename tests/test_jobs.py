@@ -55,6 +55,16 @@ def test_backfill_is_taken_up_after_a_failure(spark, tmp_path, monkeypatch):
     assert load_model(spark, places.model) is not None and backfill(spark, places, datasets, "key", size=64) is None
 
 
+def test_backfill_trains_on_all_rows(spark, tmp_path, monkeypatch):
+    from silverloom.plans import jobs
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS whole_db LOCATION '{tmp_path}/db'")
+    taken, real = [], jobs.train_classifier
+    monkeypatch.setattr(jobs, "train_classifier", lambda *a, **k: (taken.append(k.get("max_records")), real(*a, **k))[1])
+    backfill(spark, Places(str(tmp_path / "run"), "whole_db"), {"train": raw(spark, 20)}, "key", test_split=None, size=64)
+    assert taken == [None]
+
+
 def test_nothing_is_dropped_in_silence(spark, tmp_path):
     topic, bronze, silver = (str(tmp_path / n) for n in ("topic", "bronze", "silver"))
     (tmp_path / "topic").mkdir()

@@ -64,6 +64,15 @@ def test_evaluation_takes_all_rows(spark):
     assert found.metrics["test_accuracy"] == pytest.approx(119 / 120)
 
 
+def test_the_fit_takes_all_rows(spark):
+    """The regression is at the optimum over all rows, and so is no fit on some of them."""
+    gold, x, y = vectors(spark, n=6000)
+    fitted = train_classifier(gold.drop("split"), test_split=None).model.stages[0]
+    w, b = fitted.coefficients.toArray(), fitted.intercept
+    p = 1 / (1 + np.exp(-(x @ w + b)))
+    assert np.abs(x.T @ (p - y) + w).max() < 1e-1 and abs((p - y).sum()) < 1e-1
+
+
 def test_wide_rows(spark):
     rows = [(f"w{i}", [0.5 * i - 1.2, *[0.3] * 699], int(i > 2), "train") for i in range(6)]
     assert train_classifier(spark.createDataFrame(rows, GOLD_ROWS), test_split=None).metrics == {"train_accuracy": 1.0}
