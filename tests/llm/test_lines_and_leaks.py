@@ -133,6 +133,25 @@ def test_full_bitmaps_lose_nothing(spark, monkeypatch):
     assert {(r["doc_id"], r["item_id"]): (r["n_shared"], r["n_shingles"]) for r in found} == expected_pairs(docs, items)
 
 
+def test_items_without_id(spark):
+    """They are items: of equal size they are told apart, and one with the text of a named item has its name."""
+    docs, items = leaks()
+    nameless = [(None, items[k][1]) for k in (4, 6)] + [(None, t) for _, t in items[7:9]] + [(None, " ".join(items[8][1].split()[::-1]))]
+    bench = spark.createDataFrame([items[4], *nameless, (None, None), (None, "...")], "item_id long, text string")
+    found = decontaminate.contaminated_pairs(documents(spark, docs), bench)
+    want = expected_pairs(docs, [items[4], *[(1000 + i, t) for i, (_, t) in enumerate(nameless[1:])]])
+    got = [(r["doc_id"], r["item_id"], r["n_shared"], r["n_shingles"]) for r in found.collect()]
+    key = lambda r: (r[0], r[1] is None, r[2:])
+    assert sorted(got, key=key) == sorted(((d, None if i >= 1000 else i, *n) for (d, i), n in want.items()), key=key)
+    assert sum(r[1] is None for r in got) > 8 and found.columns == ["doc_id", "item_id", "n_shingles", "n_shared", "containment"]
+    dirty = {d for d, _ in want}
+    assert {r["doc_id"] for r in decontaminate.without_benchmark(documents(spark, docs), bench).collect()} == {d[0] for d in docs} - dirty
+    twins = [(None, "one two three four five six"), (None, "six five four three two one")]
+    both = documents(spark, [(7, " ".join(t for _, t in twins), "en", "s")])
+    found = decontaminate.contaminated_pairs(both, spark.createDataFrame(twins, "item_id long, text string")).collect()
+    assert [(r["doc_id"], r["item_id"], r["n_shared"]) for r in found] == [(7, None, 2)] * 2
+
+
 def test_empty_tables_of_leaks(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contaminated_pairs(documents(spark), none).count() == 0
