@@ -44,10 +44,11 @@ def sample_exact(df: DataFrame, n: int | None, key: str | Sequence[str], seed: i
     return _lowest_hashes(df, n, shuffle_key(key, seed))
 
 
-def sample_balanced(df: DataFrame, n: int, key: str | Sequence[str], by: str, seed: int = SEED) -> DataFrame:
+def sample_balanced(df: DataFrame, n: int, key: str | Sequence[str], by: str, seed: int = SEED, refill: bool = True) -> DataFrame:
     """``n`` rows without replacement, split evenly between the values of ``by`` (null is one), at least one of each.
 
-    A class that has fewer rows than its share gives all of them, and the others share what is left; of classes with equal
+    A class that has fewer rows than its share gives all of them, and the others share what is left; without ``refill`` they
+    keep to their shares, and there are fewer than ``n`` rows. Of classes with equal
     claims the first ones take the odd rows. Each class keeps the rows that come first in the seeded shuffle: one pass counts
     rows per class and bucket of the shuffle, which tells each class in which bucket it ends; only that bucket is ranked.
     There may be MOST_CLASSES classes.
@@ -59,7 +60,7 @@ def sample_balanced(df: DataFrame, n: int, key: str | Sequence[str], by: str, se
     sizes = counts.groupBy("_class").agg(F.sum("n").alias("n")).limit(MOST_CLASSES + 1).collect()
     if len(sizes) > MOST_CLASSES:
         raise ValueError(f"{by} has more than {MOST_CLASSES} values: not a class")
-    taken = _shares({r["_class"]: r["n"] for r in sizes}, n)
+    taken = _shares({r["_class"]: r["n"] for r in sizes}, n, refill)
     kind = next(f.dataType for f in df.schema.fields if f.name == by).simpleString()
     shares = df.sparkSession.createDataFrame(list(taken.items()), f"_of {kind}, _share long")
     running = F.sum("n").over(Window.partitionBy("_class").orderBy("_bucket"))
@@ -74,13 +75,14 @@ def sample_balanced(df: DataFrame, n: int, key: str | Sequence[str], by: str, se
     return placed.where("_bucket < _end").select(*columns).unionByName(last.select(*columns))
 
 
-def _shares(sizes: dict, n: int) -> dict:
+def _shares(sizes: dict, n: int, refill: bool = True) -> dict:
     """Rows that each class gives: the smallest classes first, so that what they lack goes to the others."""
     out, left = {}, n
     order = sorted(sizes, key=lambda c: (sizes[c], c is not None, str(c)))
     for i, c in enumerate(order):
-        out[c] = max(1, min(sizes[c], -(-left // (len(order) - i))))
-        left = max(0, left - out[c])
+        share = -(-left // (len(order) - i))
+        out[c] = max(1, min(sizes[c], share))
+        left = max(0, left - (out[c] if refill else share))
     return out
 
 

@@ -81,9 +81,9 @@ def sample_rows(spark, sf):
 
 
 def one_split_halves(spark, sf):
-    """Sixty labelled documents, as many of each label."""
+    """Sixty labelled documents, as many of each label: thirty at most, also where the other label has fewer."""
     rows = reviews(spark, sf).select("doc_id", "label")
-    return sample_balanced(rows, 60, "doc_id", "label")
+    return sample_balanced(rows, 60, "doc_id", "label", refill=False)
 
 
 def language_shares(spark, sf):
